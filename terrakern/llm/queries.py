@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrakern.llm.bpe_codec import round_trip_digests
 from terrakern.llm.common import table
+from terrakern.llm.quality_rules import verdicts
 from terrakern.llm.token_counts import count_tokens
+from terrakern.llm.warc import archive_round_trip
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -18,12 +20,34 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_codec": op5_bpe_codec,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_warc": op8_warc,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), f AS (
+            SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first < page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
+}

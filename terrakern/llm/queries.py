@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrakern.llm.bpe_codec import round_trip_digests
 from terrakern.llm.common import table
 from terrakern.llm.quality_rules import verdicts
+from terrakern.llm.source_mix import mix
 from terrakern.llm.suffix_dedup import dedup
 from terrakern.llm.token_counts import count_tokens
 from terrakern.llm.warc import archive_round_trip
@@ -21,6 +22,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -39,6 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_source_mix": op3_source_mix,
     "op5_bpe_codec": op5_bpe_codec,
     "op7_quality_rules": op7_quality_rules,
     "op8_warc": op8_warc,

@@ -13,6 +13,7 @@ from terrakern.llm.quality_rules import verdicts
 from terrakern.llm.source_mix import mix
 from terrakern.llm.suffix_dedup import dedup
 from terrakern.llm.token_counts import count_tokens
+from terrakern.llm.toxicity import score, train
 from terrakern.llm.warc import archive_round_trip
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -38,6 +39,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_codec": op5_bpe_codec,
     "op7_quality_rules": op7_quality_rules,
     "op8_warc": op8_warc,
+    "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {

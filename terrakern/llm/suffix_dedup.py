@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 GRAM = 20
 #: Aims for the text of a block and of a bucket.
 BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 MOST_BUCKETS = 1 << 20
 #: Window starts that are worked on at once.
-UNIT = 2 << 20
+UNIT = 1 << 20
 #: Suffixes that one bucket sorts at a time.
-SORT_AT_ONCE = 1 << 20
+SORT_AT_ONCE = 1 << 18
 #: A difference cover of the residues modulo 31.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 NO_ID = np.iinfo(np.int64).max
@@ -190,7 +190,7 @@ def cover_ranks(rows: np.ndarray, reach: int) -> np.ndarray:
     places = np.array([q for q in range(width) if q % PERIOD in COVER])
     at_row, at = np.repeat(np.arange(count), len(places)), np.tile(places, count)
     order, dense = _dense([_words(padded, at_row, at + 8 * k) for k in range(4)])
-    ranks = np.zeros((count, width + reach + PERIOD), np.int64)
+    ranks = np.zeros((count, width + max(reach, PERIOD)), np.int32)
     ranks[at_row[order], at[order]] = dense + 1
     depth, step = 32, PERIOD
     while depth < reach:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrakern.llm.bpe_codec import round_trip_digests
 from terrakern.llm.common import table
+from terrakern.llm.html_extract import extract_pages
 from terrakern.llm.quality_rules import verdicts
 from terrakern.llm.source_mix import mix
 from terrakern.llm.suffix_dedup import dedup
@@ -31,6 +32,10 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_source_mix": op3_source_mix,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_html_extract": op6_html_extract,
     "op7_quality_rules": op7_quality_rules,
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrakern.llm.bpe_codec import round_trip_digests
 from terrakern.llm.common import table
 from terrakern.llm.html_extract import extract_pages
+from terrakern.llm.permutation_index import nearest
 from terrakern.llm.quality_rules import verdicts
 from terrakern.llm.source_mix import mix
 from terrakern.llm.suffix_dedup import dedup
@@ -24,6 +25,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -55,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_permutation_index": op2_permutation_index,
     "op3_source_mix": op3_source_mix,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_html_extract": op6_html_extract,

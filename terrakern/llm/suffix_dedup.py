@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 GRAM = 20
 #: Aims for the text of a block and of a bucket.
 BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 2 << 20
 MOST_BUCKETS = 1 << 20
 #: Window starts that are worked on at once.
-UNIT = 1 << 20
+UNIT = 1 << 19
 #: Suffixes that one bucket sorts at a time.
-SORT_AT_ONCE = 1 << 18
+SORT_AT_ONCE = 1 << 17
 #: A difference cover of the residues modulo 31.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 NO_ID = np.iinfo(np.int64).max
@@ -375,8 +375,10 @@ def _answer_runs(table: pa.Table, span: int) -> pa.Table:
     np.minimum.at(least, back, ids)
     w = windows[first]
     width = int(w.max()) + span - 1
-    place = np.minimum(begins[first][:, None] + np.arange(width), len(data) - 1)
-    rows = np.where(np.arange(width) < (w + span - 1)[:, None], data[place], 0).astype(np.uint8)
+    rows = np.zeros((len(first), width), np.uint8)
+    for k in range(width):
+        has = np.flatnonzero(w + span - 1 > k)
+        rows[has, k] = data[begins[first[has]] + k]
     offsets, minima = window_minima(rows, w, least, span)
     # runs of equal answers within each distinct text
     new = np.append(True, minima[1:] != minima[:-1])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terrakern.llm.bpe_codec import round_trip_digests
 from terrakern.llm.common import table
 from terrakern.llm.html_extract import extract_pages
+from terrakern.llm.near_dedup import classes
 from terrakern.llm.permutation_index import nearest
 from terrakern.llm.quality_rules import verdicts
 from terrakern.llm.source_mix import mix
@@ -33,6 +34,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_permutation_index": op2_permutation_index,
     "op3_source_mix": op3_source_mix,
+    "op4_near_dedup": op4_near_dedup,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_html_extract": op6_html_extract,
     "op7_quality_rules": op7_quality_rules,

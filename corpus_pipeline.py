@@ -1,12 +1,64 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and reread."""
+"""Corpus pipeline: five stages over ``documents``, each written as Parquet and reread.
+
+1. ``quality`` drops documents that the quality rules reject.
+2. ``near_dedup`` keeps one document of each near-duplicate class.
+3. ``suffix_dedup`` cuts repeated 50-byte strings out of the texts; documents of
+   which nothing is left go.
+4. ``mix`` repeats documents, or leaves them out, so that the sources meet their
+   target weights.
+5. ``encode`` turns each text into token ids, and keeps the ids with the digest of
+   what they decode to.
+
+No stage has SQL: the quality verdicts, classes, suffixes and token ids are tested
+against brute-force versions in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrakern.llm.bpe_codec import encode_documents
+from terrakern.llm.common import stage, table
+from terrakern.llm.near_dedup import first_of_class
+from terrakern.llm.quality_rules import kept_documents
+from terrakern.llm.source_mix import mixed_documents
+from terrakern.llm.suffix_dedup import trimmed_documents
+
+VOCABULARY = "byte_bpe_50k.json"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return kept_documents(docs.select(*COLUMNS))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return first_of_class(docs.select(*COLUMNS))
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    trimmed = trimmed_documents(docs.select(*COLUMNS))
+    return trimmed.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs.select(*COLUMNS))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids, ids_sha256, decoded_sha256 of every row."""
+    return encode_documents(docs, ["doc_id", "lang", "source"], public_tokenizers.path(VOCABULARY))
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("mix", mix), ("encode", encode)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; the rows of the last."""
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

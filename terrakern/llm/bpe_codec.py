@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrakern.llm.byte_bpe import REMEMBERED, ByteBPE, loaded, vocabulary_text
-from terrakern.llm.common import bounded_batches
+from terrakern.llm.common import arrow_schema, bounded_batches
 
 #: Stands in for the second token where a token is tested alone.
 ALONE = (1 << 31) - 1
@@ -115,6 +115,16 @@ class Codec:
             out += [t for k in words.indices.to_pylist() for t in ids[k]]
         return out
 
+    def encode_many(self, texts: list[str | None]) -> pa.ListArray:
+        """The ids of each text."""
+        counts, flat = np.zeros(len(texts), np.int64), []
+        for owner, words in self.bpe.groups(texts):
+            ids = pa.array(self.known(words.dictionary.to_pylist()), pa.list_(pa.int32())).take(words.indices)
+            flat.append(ids.flatten().to_numpy())
+            counts += np.bincount(owner, ids.value_lengths().to_numpy(), len(texts)).astype(np.int64)
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *flat]), pa.int32()))
+
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; special tokens are kept, broken UTF-8 becomes U+FFFD."""
         special = {i: s.encode() for s, i in self.bpe.special.items()}
@@ -144,11 +154,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(content.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids = [np.fromiter(codec.encode(t or ""), np.int32) for t in texts]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), codec.encode_many(batch.column(1).to_pylist())], ["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     coded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
@@ -250,3 +256,30 @@ def _decoded(plain, data: bytes) -> bytes:
             break
     plain.update(data[:cut].decode("utf-8", errors="replace").encode())
     return data[cut:]
+
+
+def encode_documents(docs: DataFrame, carry: list[str], vocabulary: str, text_col: str = "text") -> DataFrame:
+    """The ``carry`` columns of every row with n_tokens, ids, ids_sha256 and decoded_sha256.
+
+    Nulls, empty texts and empty tables as in :func:`encode`; carried columns travel
+    in a struct, so their names cannot clash.
+    """
+    bounded_batches(docs.sparkSession, 500)
+    content = docs.sparkSession.sparkContext.broadcast(vocabulary_text(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(content.value)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            ids = codec.encode_many(texts)
+            n, coded, decoded = zip(*digests(codec, texts), strict=True) if texts else ((), (), ())
+            columns = [batch.column(0), pa.array(n, pa.int64()), ids, pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    rows = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(text_col).alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    ddl = f"row {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    schema = arrow_schema(ddl)
+    out = rows.mapInArrow(run, ddl)
+    added = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    return out.select(*[F.col("row")[c].alias(c) for c in carry if c not in added], *added)

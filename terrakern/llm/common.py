@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word is a run of characters other than these six (space, \t \n \v \f \r).
 WORD_SPACE = r"\x20\x09-\x0D"
@@ -47,6 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_bytes(column: str = "text"):
-    """Length of a text in UTF-8 bytes; 0 for null."""
-    return F.coalesce(F.octet_length(F.col(column)), F.lit(0)).cast("long")
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a DDL string: what Spark expects back, all of it nullable."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+

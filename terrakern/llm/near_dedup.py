@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrakern.llm.common import bounded_batches, stage
+from terrakern.llm.common import arrow_schema, bounded_batches, stage
 
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.99996.
@@ -330,10 +330,13 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
                 keys.append(sequence_keys(texts))
             keys, bands = np.concatenate(keys) if keys else np.zeros((0, 2), np.int64), np.concatenate(bands) if bands else np.zeros((0, BANDS), np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists], ["row", "id", "k1", "k2", "bands"])
+            columns = [batch.column(0), batch.column(1), pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     row_type = rows.schema["row"].dataType.simpleString()
-    sketched = stage(rows.mapInArrow(sketch, f"row {row_type}, id long, k1 long, k2 long, bands array<long>"), "near-sketch")
+    ddl = f"row {row_type}, id long, k1 long, k2 long, bands array<long>"
+    schema = arrow_schema(ddl)
+    sketched = stage(rows.mapInArrow(sketch, ddl), "near-sketch")
     nodes = sketched.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     nodes = stage(nodes.select("k1", "k2", F.coalesce("id", _without_id(F.col("k1"))).alias("node"), "bands"), "near-nodes")
     posted = nodes.select("node", F.explode("bands").alias("key")).filter(F.col("key") != 0)

@@ -172,3 +172,15 @@ def mix(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: str
     taken = F.when((F.col("size") > 0) & F.col("blocks").isNotNull(), F.col("repeats") * F.col("size") + extra).otherwise(F.lit(0)).cast("long")
     clash = {"size", "source_size", "target", "taken"}
     return joined.select(*[F.col("row")[c].alias(c) for c in carry if c not in clash], "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it: taken words over its size, rounded half up.
+
+    Rows without words are left out, as are rows of which less than half is taken.
+    """
+    doc = F.struct(*[F.col(c) for c in docs.columns]).alias("__doc")
+    taken = mix(docs.select(doc, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), ["__doc"], "id", "text", "source", seed)
+    times = F.when(F.col("size") > 0, F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).otherwise(0).cast("int")
+    repeated = taken.withColumn("times", times).filter("times > 0").select("__doc", F.explode(F.sequence(F.lit(1), "times")).alias("time"))
+    return repeated.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])

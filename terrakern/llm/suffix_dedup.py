@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrakern.llm.common import arrow_schema
+
 #: Bytes of an anchor.
 GRAM = 20
 #: Aims for the text of a block and of a bucket.
@@ -505,13 +507,11 @@ def dedup(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: s
             "n_spans": pa.array(map(len, spans), pa.int64()),
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
         }
-        return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if with_text else {}))
+        return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if with_text else {})).cast(schema)
 
     row_type = texts.schema["row"].dataType
     out_type = f"row {row_type.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = to_arrow_schema(spark.createDataFrame([], out_type).schema)
+    schema = arrow_schema(out_type)
     sent = by_block.applyInArrow(send_anchors, "bucket long, block long, hashes binary")
     answered = sent.groupBy("bucket").applyInArrow(_answer_anchors, "block long, bucket long, bits binary")
     runs = by_block.cogroup(answered.groupBy("block")).applyInArrow(send_runs, "bucket long, block long, n int, texts binary")
@@ -520,3 +520,26 @@ def dedup(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: s
     clash = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"}
     more = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
     return done.select(*[F.col("row")[c].alias(c) for c in carry if c not in clash], *more)
+
+
+def trimmed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 50) -> DataFrame:
+    """The rows of ``docs`` with repeated strings cut out of their texts; rows that lose all their text go.
+
+    Bytes that a cut leaves of a broken character are dropped with it.  Rows whose
+    text was empty or null stay as they are.
+    """
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema.field(0).type), pa.array(texts, pa.string())], schema=schema)
+
+    others = [c for c in docs.columns if c != text_col]
+    doc = F.struct(*[F.col(c) for c in others], F.when(F.col(text_col).isNull(), True).otherwise(False).alias("__was_null"))
+    packed = docs.select(doc.alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    cut = dedup(packed, ["doc"], "id", "text", span, with_text=True).filter((F.col("n_bytes") == 0) | (F.col("n_removed") < F.col("n_bytes")))
+    kind = cut.schema["doc"].dataType.simpleString()
+    schema = arrow_schema(f"doc {kind}, text string")
+    out = cut.select("doc", "kept").mapInArrow(decoded, f"doc {kind}, text string")
+    text = F.when(F.col("doc")["__was_null"], F.lit(None)).otherwise(F.col("text"))
+    return out.select(*[text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns])

@@ -34,7 +34,7 @@ RARE = 4
 COUNTERS, SLICES = 1 << 20, 16
 #: Vectors that meet in one task at most, beside what they are compared with.
 CHUNK = 2000
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18
 #: Shingle weights that are sampled at once.
 SAMPLED = 1 << 17
 
@@ -371,33 +371,33 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
 
 
 def _without_id(k1: Column) -> Column:
-    """The node of rows that have only null ids, from their words."""
+    """The node of rows that have only null ids, from their words: negative."""
     return F.when(k1 < 0, k1).otherwise(-k1 - 1)
 
 
 def _vectors(rows: DataFrame, wanted: DataFrame, sent) -> DataFrame:
-    """node, vector: packed TF-IDF vectors of the wanted nodes, one of each."""
-    named = rows.filter(F.col("id").isNotNull()).select(F.col("id").alias("node"), "text").join(wanted, "node", "left_semi")
+    """node, vector: packed TF-IDF vectors of the wanted nodes, one of each.
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(sequence_keys(texts)[:, 0]), pa.array(texts, pa.string())], ["k1", "text"])
-
-    nameless = rows.filter(F.col("id").isNull()).select("text").mapInArrow(keyed, "k1 long, text string").select(_without_id(F.col("k1")).alias("node"), "text").join(wanted, "node", "left_semi")
-    return _pack(named.union(nameless), sent).groupBy("node").agg(F.max("vector").alias("vector"))
+    The texts meet the wanted nodes in a sort-merge join at every size.
+    """
+    named = rows.filter(F.col("id").isNotNull()).select(F.col("id").alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
+    nameless = _pack(rows.filter(F.col("id").isNull()).select(F.col("id").alias("node"), "text"), sent).join(wanted, "node", "left_semi")
+    return _pack(named, sent).union(nameless).groupBy("node").agg(F.max("vector").alias("vector"))
 
 
 def _pack(texts: DataFrame, sent) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigher = Weigher(*sent.value)
         for batch in batches:
-            blobs = []
+            blobs, nodes = [], batch.column(0).to_pylist()
             for group in grouped(batch.column(1).to_pylist()):
+                if nodes[len(blobs)] is None:  # a table of rows without ids
+                    k1 = sequence_keys(group)[:, 0]
+                    nodes[len(blobs) : len(blobs) + len(group)] = np.where(k1 < 0, k1, -k1 - 1).tolist()
                 owner, h, tf = shingles(group)
                 w, edges = weigher.weights(h, tf), np.searchsorted(owner, np.arange(len(group) + 1))
                 blobs += [_packed(h[a:b], w[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["node", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["node", "vector"])
 
     return texts.mapInArrow(pack, "node long, vector binary")
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from functools import cache
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +49,39 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@cache
+def _trim():
+    """The C library's call that hands free heap pages back, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: idle Python workers stay around between stages."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def releasing(f):
+    """``f``, a function of a group or cogroup, with its memory given back afterwards."""
+
+    def of_group(group: pa.Table) -> pa.Table:
+        try:
+            return f(group)
+        finally:
+            release_memory()
+
+    def of_cogroup(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return f(left, right)
+        finally:
+            release_memory()
+
+    return of_group if len(signature(f).parameters) == 1 else of_cogroup
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrakern.llm.common import arrow_schema, bounded_batches, stage
+from terrakern.llm.common import arrow_schema, bounded_batches, release_memory, releasing, stage
 
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.99996.
@@ -111,6 +111,8 @@ def frequent(docs: DataFrame, text_col: str, count: int) -> list[dict[int, int]]
             small = parts.max() < 1 << 16
             blobs = [p.astype(np.uint16 if small else np.int64).tobytes() for p in parts]
             yield pa.RecordBatch.from_arrays([pa.array(range(2 * SLICES), pa.int32()), pa.array(blobs, pa.binary())], ["part", "counts"])
+        del sketch
+        release_memory()
 
     wide = 2 * COUNTERS // (2 * SLICES)
 
@@ -332,6 +334,7 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
             columns = [batch.column(0), batch.column(1), pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            release_memory()
 
     row_type = rows.schema["row"].dataType.simpleString()
     ddl = f"row {row_type}, id long, k1 long, k2 long, bands array<long>"
@@ -352,7 +355,7 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
     right = right.join(vectors.select(F.col("node").alias("member"), "vector"), "member").select(F.col("leader").alias("of"), F.col("chunk").alias("part"), "member", "vector")
     left = chunks.select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
     left = left.join(vectors.select(F.col("node").alias("leader"), F.col("vector").alias("of_leader")), "leader").select("leader", "chunk", "of_leader")
-    star = stage(left.groupBy("leader", "chunk").cogroup(right.groupBy("of", "part")).applyInArrow(_verify_star, "a long, b long"), "near-links")
+    star = stage(left.groupBy("leader", "chunk").cogroup(right.groupBy("of", "part")).applyInArrow(releasing(_verify_star), "a long, b long"), "near-links")
     found = components(star)
 
     classed = members.join(found, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
@@ -362,7 +365,7 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
     rest = classed.join(open_, "key").join(vectors, "node")
     bases = rest.select(F.col("key").alias("of"), chunk(F.col("node")).alias("part"), F.col("node").alias("node"), F.col("class").alias("class"), F.col("vector").alias("vector"))
     probes = rest.filter(F.col("class") != F.col("major")).select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "node", "class", "vector")
-    late = stage(probes.groupBy("key", "chunk").cogroup(bases.groupBy("of", "part")).applyInArrow(_verify_rest, "a long, b long"), "near-links")
+    late = stage(probes.groupBy("key", "chunk").cogroup(bases.groupBy("of", "part")).applyInArrow(releasing(_verify_rest), "a long, b long"), "near-links")
     if not late.isEmpty():
         found = components(star.union(late))
     by_key = nodes.join(found, "node", "left").select("k1", "k2", F.coalesce("class", "node").alias("class_id"))
@@ -398,6 +401,7 @@ def _pack(texts: DataFrame, sent) -> DataFrame:
                 w, edges = weigher.weights(h, tf), np.searchsorted(owner, np.arange(len(group) + 1))
                 blobs += [_packed(h[a:b], w[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["node", "vector"])
+            release_memory()
 
     return texts.mapInArrow(pack, "node long, vector binary")
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrakern.llm.common import arrow_schema
+from terrakern.llm.common import arrow_schema, releasing
 
 #: Bytes of an anchor.
 GRAM = 20
@@ -83,7 +83,7 @@ class Runs:
     """Runs of windows of some concatenated texts: where they start, how many windows, anchor and text hashes."""
 
     def __init__(self, data: np.ndarray, text_of: np.ndarray, starts: np.ndarray, ends: np.ndarray, span: int, gram: int):
-        self.start = self.windows = np.zeros(0, np.int64)
+        self.start = self.windows = self.offset = np.zeros(0, np.int64)
         self.anchor = self.text = np.zeros(0, np.uint64)
         if len(data) < span:
             return
@@ -111,6 +111,7 @@ class Runs:
         self.start = np.flatnonzero(first)
         self.windows = np.flatnonzero(last) - self.start + 1
         self.anchor = hashes[anchor[self.start]]
+        self.offset = anchor[self.start] - self.start
         # hashes of the runs' texts from prefix sums of table * mul^place
         powers = np.full(len(data) + 1, _MUL, np.uint64)
         powers[0] = 1
@@ -234,23 +235,21 @@ def sorted_suffixes(rows: np.ndarray, at_row: np.ndarray, at: np.ndarray, ranks:
     return order
 
 
-def window_minima(rows: np.ndarray, windows: np.ndarray, ids: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest id of each window of the texts: (offsets into the flat result, result).
+def window_minima(rows: np.ndarray, lead: np.ndarray, windows: np.ndarray, ids: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id of each window of the texts, which start at column ``lead``: (offsets into the flat result, result).
 
     The suffixes are cut by their first two bytes into parts that are sorted one
     after the other, so memory is bounded by the largest part and the cover ranks.
     """
     offsets = np.concatenate(([0], np.cumsum(windows)))
     at_row = np.repeat(np.arange(len(rows)), windows)
-    at = np.arange(offsets[-1]) - offsets[at_row]
+    at = np.arange(offsets[-1]) - offsets[at_row] + lead[at_row]
     out = ids[at_row].copy()
     if not len(at):
         return offsets, out
     ranks = cover_ranks(rows, span)
-    lead = rows[at_row, at].astype(np.int64) * 256 + rows[at_row, at + 1]
-    counts = np.bincount(lead, minlength=65536)
-    part_of = np.cumsum(counts) // SORT_AT_ONCE
-    part = part_of[lead]
+    pair = rows[at_row, at].astype(np.int64) * 256 + rows[at_row, at + 1]
+    part = (np.cumsum(np.bincount(pair, minlength=65536)) // SORT_AT_ONCE)[pair]
     padded = np.concatenate((rows, np.zeros((len(rows), 8), np.uint8)), axis=1)
     for p in np.unique(part).tolist():
         here = np.flatnonzero(part == p)
@@ -331,7 +330,7 @@ def _send_runs(table: pa.Table, answers: pa.Table, span: int, buckets: int) -> p
             n = runs.windows[s]
             size = n + span - 1
             take = np.repeat(runs.start[s] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            blob = b"".join((np.int32(len(s)).tobytes(), runs.text[s].tobytes(), owner[part].tobytes(), n.astype(np.uint8).tobytes(), data[take].tobytes()))
+            blob = b"".join((np.int32(len(s)).tobytes(), runs.text[s].tobytes(), owner[part].tobytes(), n.astype(np.uint8).tobytes(), runs.offset[s].astype(np.uint8).tobytes(), data[take].tobytes()))
             out.setdefault(b, []).append(blob)
             n_out[b] = n_out.get(b, 0) + len(s)
     keys = list(out)
@@ -348,7 +347,8 @@ def _cut(values: np.ndarray) -> tuple[list[int], list[slice]]:
     return values[starts].tolist(), [slice(a, b) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
 
 
-def _parse_runs(blob: bytes, span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _parse_runs(blob: bytes, span: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Text hash, id, number of windows and anchor's place of each run, and all runs' bytes."""
     at = 0
     while at < len(blob):
         n = int(np.frombuffer(blob, np.int32, 1, at)[0])
@@ -356,8 +356,9 @@ def _parse_runs(blob: bytes, span: int) -> Iterator[tuple[np.ndarray, np.ndarray
         ids = np.frombuffer(blob, np.int64, n, at + 4 + 8 * n)
         windows = np.frombuffer(blob, np.uint8, n, at + 4 + 16 * n).astype(np.int64)
         size = int(windows.sum()) + n * (span - 1)
-        yield text, ids, windows, np.frombuffer(blob, np.uint8, size, at + 4 + 17 * n)
-        at += 4 + 17 * n + size
+        offset = np.frombuffer(blob, np.uint8, n, at + 4 + 17 * n).astype(np.int64)
+        yield text, ids, windows, offset, np.frombuffer(blob, np.uint8, size, at + 4 + 18 * n)
+        at += 4 + 18 * n + size
 
 
 def _answer_runs(table: pa.Table, span: int) -> pa.Table:
@@ -366,8 +367,8 @@ def _answer_runs(table: pa.Table, span: int) -> pa.Table:
         for part in _parse_runs(blob, span):
             parts.append(part)
             blocks.append(np.full(len(part[0]), block))
-    text, ids, windows = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    data = np.concatenate([p[3] for p in parts])
+    text, ids, windows, offset = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    data = np.concatenate([p[4] for p in parts])
     block = np.concatenate(blocks)
     del parts, blocks
     stops = np.cumsum(windows + span - 1)
@@ -376,12 +377,13 @@ def _answer_runs(table: pa.Table, span: int) -> pa.Table:
     least = np.full(len(distinct), NO_ID)
     np.minimum.at(least, back, ids)
     w = windows[first]
-    width = int(w.max()) + span - 1
-    rows = np.zeros((len(first), width), np.uint8)
-    for k in range(width):
+    # anchors stand in one column, so equal windows start in equal columns
+    lead = offset[first].max() - offset[first]
+    rows = np.zeros((len(first), int((lead + w).max()) + span - 1), np.uint8)
+    for k in range(int(w.max()) + span - 1):
         has = np.flatnonzero(w + span - 1 > k)
-        rows[has, k] = data[begins[first[has]] + k]
-    offsets, minima = window_minima(rows, w, least, span)
+        rows[has, lead[has] + k] = data[begins[first[has]] + k]
+    offsets, minima = window_minima(rows, lead, w, least, span)
     # runs of equal answers within each distinct text
     new = np.append(True, minima[1:] != minima[:-1])
     new[offsets[:-1]] = True
@@ -490,6 +492,9 @@ def dedup(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: s
     def send_runs(table: pa.Table, answers: pa.Table) -> pa.Table:
         return _send_runs(table, answers, span, buckets)
 
+    def answer_anchors(table: pa.Table) -> pa.Table:
+        return _answer_anchors(table)
+
     def answer_runs(table: pa.Table) -> pa.Table:
         return _answer_runs(table, span)
 
@@ -512,11 +517,11 @@ def dedup(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: s
     row_type = texts.schema["row"].dataType
     out_type = f"row {row_type.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     schema = arrow_schema(out_type)
-    sent = by_block.applyInArrow(send_anchors, "bucket long, block long, hashes binary")
-    answered = sent.groupBy("bucket").applyInArrow(_answer_anchors, "block long, bucket long, bits binary")
-    runs = by_block.cogroup(answered.groupBy("block")).applyInArrow(send_runs, "bucket long, block long, n int, texts binary")
-    replies = runs.groupBy("bucket").applyInArrow(answer_runs, "block long, replies binary")
-    done = by_block.cogroup(replies.groupBy("block")).applyInArrow(finish, out_type)
+    sent = by_block.applyInArrow(releasing(send_anchors), "bucket long, block long, hashes binary")
+    answered = sent.groupBy("bucket").applyInArrow(releasing(answer_anchors), "block long, bucket long, bits binary")
+    runs = by_block.cogroup(answered.groupBy("block")).applyInArrow(releasing(send_runs), "bucket long, block long, n int, texts binary")
+    replies = runs.groupBy("bucket").applyInArrow(releasing(answer_runs), "block long, replies binary")
+    done = by_block.cogroup(replies.groupBy("block")).applyInArrow(releasing(finish), out_type)
     clash = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"}
     more = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
     return done.select(*[F.col("row")[c].alias(c) for c in carry if c not in clash], *more)

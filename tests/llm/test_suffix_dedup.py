@@ -69,7 +69,7 @@ def test_sorted_suffixes_and_minima():
     suffix = [bytes(rows[r, a:]) + b"\0" * 200 for r, a in zip(at_row, at, strict=True)]
     assert all(suffix[order[k]][:80] <= suffix[order[k + 1]][:80] for k in range(len(order) - 1))
     windows = lengths - 49
-    offsets, least = suffix_dedup.window_minima(rows, windows, np.arange(60)[::-1].copy(), 50)
+    offsets, least = suffix_dedup.window_minima(rows, np.zeros(60, np.int64), windows, np.arange(60)[::-1].copy(), 50)
     seen = {}
     for r in range(60):
         for w in range(windows[r]):

@@ -110,7 +110,7 @@ class Runs:
         last[:-1] &= first[1:] | ~valid[1:]
         self.start = np.flatnonzero(first)
         self.windows = np.flatnonzero(last) - self.start + 1
-        self.anchor = hashes[anchor[self.start]]
+        self.anchor = _mixed(hashes[anchor[self.start]] * _MIX)  # least hashes are small: mixed again, buckets are even
         self.offset = anchor[self.start] - self.start
         # hashes of the runs' texts from prefix sums of table * mul^place
         powers = np.full(len(data) + 1, _MUL, np.uint64)

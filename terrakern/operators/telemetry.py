@@ -43,5 +43,5 @@ def thinned(rows: DataFrame, by: list[str], order: str, value: str, phase: str,
         keep = (F.size(kept) == 0) | (F.abs(x["v"] - last["v"]) >= least) | (x["p"] != last["p"])
         return F.when(keep, F.concat(kept, F.array(x))).otherwise(kept)
 
-    folded = rows.groupBy(*by).agg(F.aggregate(items, F.array().cast(f"array<{item}>"), step).alias("k"))
-    return folded.select(*by, F.explode("k").alias("x")).select(*by, F.col("x.o").alias(order), F.col("x.v").alias(value), F.col("x.p").alias(phase))
+    folded = rows.groupBy(*by).agg(F.aggregate(items, F.array().cast(f"array<{item}>"), step).alias("__kept"))
+    return folded.select(*by, F.explode("__kept").alias("x")).select(*by, F.col("x.o").alias(order), F.col("x.v").alias(value), F.col("x.p").alias(phase))

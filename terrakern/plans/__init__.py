@@ -1,6 +1,6 @@
 """Operators bound to tables as registered queries, with their SQL twins."""
 
-from terrakern.plans import relational, scalars, streams
+from terrakern.plans import lakehouse, relational, scalars, streams
 
-QUERIES = scalars.QUERIES | relational.QUERIES | streams.QUERIES
-ORACLE_SQL = scalars.SQL | relational.SQL
+QUERIES = scalars.QUERIES | relational.QUERIES | lakehouse.QUERIES | streams.QUERIES
+ORACLE_SQL = scalars.SQL | relational.SQL | lakehouse.SQL

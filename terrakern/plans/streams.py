@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrakern.functions import geo as G
 from terrakern.functions import pixel as P
+from terrakern.functions import utm
 from terrakern.operators import batching
 from terrakern.sources.tables import events, read
 from terrakern.streaming import streams
@@ -82,3 +84,11 @@ def encode_stub(spark, d):
     flipped = F.transform("embedding", lambda x, i: x.cast("double") * (1 + i % 3))
     q, scale = P.quantised(flipped)
     return read(spark, d, "embeddings").select("vec_id", q.alias("embedding"), scale.alias("scale"))
+
+
+@query
+def utm_tile_bbox(spark, d):
+    lon, lat = F.col("c_custkey") % 360 - 180 + 0.5, F.col("c_custkey") % 160 - 80
+    zone = G.zone_number(lon, lat)
+    points = read(spark, d, "customer").select("c_custkey", utm.projected(lon, lat, zone).alias("p"), zone.alias("zone"))
+    return points.select("c_custkey", "zone", F.floor(F.col("p.easting") / 20480).alias("tile_col"), F.floor(F.col("p.northing") / 20480).alias("tile_row"))

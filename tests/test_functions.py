@@ -84,3 +84,18 @@ def test_geo(spark):
         g=geo.overlaps_wrapped(F.lit(175.0), F.lit(0.0), F.lit(-175.0), F.lit(1.0), (-179.0, 0.0, -178.0, 1.0)),
     )
     assert tuple(r) == (32, 33, 60, 104.0, 128.0, True, True)
+
+
+def test_utm():
+    from terrakern.functions import utm
+
+    east, north = utm.forward(9.0, 0.0, 32)
+    assert (round(float(east), 3), round(float(north), 3)) == (500000.0, 0.0)
+    lon, lat = np.meshgrid(np.linspace(6, 12, 7), np.linspace(-79, 83, 19))
+    east, north = utm.forward(lon, lat, 32)
+    back = utm.inverse(east, north, 32, lat < 0)
+    assert np.abs(back[0] - lon).max() < 1e-8 and np.abs(back[1] - lat).max() < 1e-8
+    # one degree of the central meridian from the equator, scaled by 0.9996
+    assert abs(float(utm.forward(9.0, 1.0, 32)[1]) - 110574.3886 * 0.9996) < 0.5
+    box = utm.tile_box(60, 833000.0, 0.0, 20480.0)
+    assert box[0] > box[2]

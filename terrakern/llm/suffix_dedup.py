@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +85,7 @@ class Runs:
 
     def __init__(self, data: np.ndarray, text_of: np.ndarray, starts: np.ndarray, ends: np.ndarray, span: int, gram: int):
         self.start = self.windows = self.offset = np.zeros(0, np.int64)
-        self.anchor = self.text = np.zeros(0, np.uint64)
+        self.anchor = np.zeros(0, np.uint64)
         if len(data) < span:
             return
         hashes = gram_hashes(data, gram)
@@ -112,17 +113,29 @@ class Runs:
         self.windows = np.flatnonzero(last) - self.start + 1
         self.anchor = _mixed(hashes[anchor[self.start]] * _MIX)  # least hashes are small: mixed again, buckets are even
         self.offset = anchor[self.start] - self.start
-        # hashes of the runs' texts from prefix sums of table * mul^place
-        powers = np.full(len(data) + 1, _MUL, np.uint64)
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * powers[:-1])))
-        inverse = pow(int(_MUL), -1, 1 << 64)
-        back = np.full(len(data) + 1, np.uint64(inverse), np.uint64)
-        back[0] = 1
-        back = np.multiply.accumulate(back)
-        stop = self.start + self.windows + span - 1
-        self.text = _mixed((prefix[stop] - prefix[self.start]) * back[self.start] + self.windows.astype(np.uint64) * _MIX)
+        self._data, self._stop = data, self.start + self.windows + span - 1
+
+    @cached_property
+    def text(self) -> np.ndarray:
+        """Hashes of the runs' texts, from prefix sums of table * mul^place."""
+        if not len(self.start):
+            return np.zeros(0, np.uint64)
+        powers, back = _powers(len(self._data) + 1)
+        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[self._data] * powers[: len(self._data)])))
+        return _mixed((prefix[self._stop] - prefix[self.start]) * back[self.start] + self.windows.astype(np.uint64) * _MIX)
+
+
+_known_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``count`` powers of the multiplier and of its inverse; kept for the next unit."""
+    if not _known_powers or len(_known_powers[0][0]) < count:
+        made = [np.full(count, np.uint64(m), np.uint64) for m in (int(_MUL), pow(int(_MUL), -1, 1 << 64))]
+        for m in made:
+            m[0] = 1
+        _known_powers[:] = [tuple(np.multiply.accumulate(m) for m in made)]
+    return _known_powers[0]
 
 
 def units(texts: list[bytes], span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -173,13 +186,31 @@ def _words(rows: np.ndarray, at_row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(flat[at_row * rows.shape[1] + at]).view(">u8").ravel().astype(np.uint64)
 
 
-def _dense(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys (most significant first), and the dense rank of each in that order."""
-    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        new[1:] |= k[order[1:]] != k[order[:-1]]
-    return order, np.cumsum(new)
+def _word_keys(rows: np.ndarray, at_row: np.ndarray, at: np.ndarray) -> list[Callable[[np.ndarray], np.ndarray]]:
+    """The first 32 bytes from each place, as four keys."""
+    return [lambda e, k=k: _words(rows, at_row[e], at[e] + 8 * k) for k in range(4)]
+
+
+def _dense(count: int, keys: list[Callable[[np.ndarray], np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Order of 0..count-1 by the keys (most significant first), and the dense rank of each in that order.
+
+    Each key gives the values of chosen elements; a later key is asked of those only
+    that the earlier ones leave tied.
+    """
+    first = keys[0](np.arange(count))
+    order = np.argsort(first)
+    new = np.ones(count, bool)
+    new[1:] = first[order[1:]] != first[order[:-1]]
+    for key in keys[1:]:
+        tied = np.flatnonzero(~new | ~np.append(new[1:], True))
+        if not len(tied):
+            break
+        group = np.cumsum(new[tied])
+        values = key(order[tied])
+        by = np.lexsort((values, group))
+        order[tied], values = order[tied][by], values[by]
+        new[tied[1:]] |= values[1:] != values[:-1]
+    return order, np.cumsum(new) - 1
 
 
 def cover_ranks(rows: np.ndarray, reach: int) -> np.ndarray:
@@ -192,13 +223,13 @@ def cover_ranks(rows: np.ndarray, reach: int) -> np.ndarray:
     padded = np.concatenate((rows, np.zeros((count, 32 + 8), np.uint8)), axis=1)
     places = np.array([q for q in range(width) if q % PERIOD in COVER])
     at_row, at = np.repeat(np.arange(count), len(places)), np.tile(places, count)
-    order, dense = _dense([_words(padded, at_row, at + 8 * k) for k in range(4)])
+    order, dense = _dense(len(at), _word_keys(padded, at_row, at))
     ranks = np.zeros((count, width + max(reach, PERIOD)), np.int32)
     ranks[at_row[order], at[order]] = dense + 1
     depth, step = 32, PERIOD
     while depth < reach:
         first, second = ranks[at_row, at], ranks[at_row, at + step]
-        order, dense = _dense([first, second])
+        order, dense = _dense(len(at), [lambda e, v=first: v[e], lambda e, v=second: v[e]])
         ranks[at_row[order], at[order]] = dense + 1
         depth, step = depth + step, 2 * step
     return ranks
@@ -212,7 +243,7 @@ def sorted_suffixes(rows: np.ndarray, at_row: np.ndarray, at: np.ndarray, ranks:
     each pair at its own shift, which a difference cover always has.
     """
     padded = np.concatenate((rows, np.zeros((len(rows), 40), np.uint8)), axis=1)
-    order, group = _dense([_words(padded, at_row, at + 8 * k) for k in range(4)])
+    order, group = _dense(len(at), _word_keys(padded, at_row, at))
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
     residues = np.bitwise_or.reduceat(np.int64(1) << (at[order] % PERIOD), starts) if len(starts) else starts
     shift = np.full(len(starts), -1)
@@ -273,14 +304,14 @@ def _block_texts(table: pa.Table) -> tuple[pa.Table, np.ndarray, list[bytes]]:
     return table, ids, [t or b"" for t in table.column("bytes").to_pylist()]
 
 
-def _anchors(texts: list[bytes], span: int) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint64), *[Runs(*u[:4], span, GRAM).anchor for u in units(texts, span)]])
+def _anchors(found: list[Runs]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *[r.anchor for r in found]])
 
 
 def _send_anchors(table: pa.Table, span: int, buckets: int) -> pa.Table:
     block = table.column("block")[0]
     _, _, texts = _block_texts(table)
-    found = np.unique(_anchors(texts, span))
+    found = np.unique(_anchors([Runs(*u[:4], span, GRAM) for u in units(texts, span)]))
     edges = np.searchsorted(_bucket(found, buckets), np.arange(buckets + 1))
     full = np.flatnonzero(np.diff(edges))
     blobs = [_six(found[edges[b] : edges[b + 1]]) for b in full]
@@ -301,7 +332,8 @@ def _send_runs(table: pa.Table, answers: pa.Table, span: int, buckets: int) -> p
         return pa.schema(list(names.items())).empty_table()
     block = table.column("block")[0].as_py()
     _, ids, texts = _block_texts(table)
-    found, counts = np.unique(_anchors(texts, span), return_counts=True)
+    cut = [(u, Runs(*u[:4], span, GRAM)) for u in units(texts, span)]
+    found, counts = np.unique(_anchors([r for _, r in cut]), return_counts=True)
     edges = np.searchsorted(_bucket(found, buckets), np.arange(buckets + 1))
     shared = counts > 1
     for b, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True):
@@ -310,10 +342,7 @@ def _send_runs(table: pa.Table, answers: pa.Table, span: int, buckets: int) -> p
     shared = found[shared]
     out: dict[int, list[bytes]] = {}
     n_out: dict[int, int] = {}
-    for data, text_of, starts, ends, _ in units(texts, span):
-        runs = Runs(data, text_of, starts, ends, span, GRAM)
-        if not len(shared):
-            break
+    for (data, text_of, _, ends, _), runs in cut if len(shared) else []:
         near = np.minimum(np.searchsorted(shared, runs.anchor), len(shared) - 1)
         sent = np.flatnonzero(shared[near] == runs.anchor)
         if not len(sent):

@@ -32,13 +32,13 @@ _KINDS = [np.uint64(k) for k in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6
 
 
 class Ftrl(NamedTuple):
-    """Rate, smoothing, L1, L2 and passes over the sample."""
+    """Rate, smoothing, L1, L2 and passes over the sample, chosen on a validation part of the rows one may learn from."""
 
     alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 2.0
+    l1: float = 4.0
     l2: float = 0.05
-    passes: int = 3
+    passes: int = 5
 
 
 class Weights(NamedTuple):

@@ -250,6 +250,6 @@ def lat_band_weight(spark, d):
     return _boxes(spark, d).select("c_custkey", G.latitude_weight(F.col("s")).alias("weight"))
 
 
-@query("""SELECT p_partkey, 500000.0 + (p_size + 0.5)*10 AS x FROM part""")
+@query("""SELECT p_partkey, (500000.0 + (p_size + 0.5)*10)::DOUBLE AS x FROM part""")
 def pixel_center_coords(spark, d):
     return read(spark, d, "part").select("p_partkey", G.pixel_centre(F.lit(500000.0), F.col("p_size")).alias("x"))

@@ -500,8 +500,10 @@ def dedup(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: s
     null id counts as larger than all others; rows with one id never remove from
     each other, repeated rows included; an empty table gives an empty result;
     carried columns travel in a struct, so names cannot clash.  ``id_col`` must be
-    of an integer type.
+    of an integer type, and ``span`` between 2 * GRAM and 200.
     """
+    if not 2 * GRAM <= span <= 200:
+        raise ValueError(f"span is {span}, not between {2 * GRAM} and 200")
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks, buckets = max(1, -(-total // BLOCK_BYTES)), min(MOST_BUCKETS, max(1, -(-total // BUCKET_BYTES)))

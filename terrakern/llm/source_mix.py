@@ -6,6 +6,9 @@ source's blocks to its shards in the same way, so that every shard has an intege
 quota.  Within a shard, documents stand in a seeded order and their words are cut
 into equal blocks; all blocks are taken as often as the quota allows, and a seeded
 choice of them once more.
+
+Whole documents are chosen to the same quota: every document of a shard as often
+as the quota holds the shard, and some once more until its words are used up.
 """
 
 from __future__ import annotations
@@ -16,12 +19,13 @@ import math
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from terrakern.llm.common import WORD, stage
+from terrakern.llm.common import WORD, releasing, stage
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -119,17 +123,8 @@ def plan_shards(shards: list[tuple[str | None, int, int]], goal: dict[str | None
     return out
 
 
-def mix(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
-    """The ``carry`` columns of every row with size, source_size (long), target (double), taken (long).
-
-    ``size`` counts words (0 for a null or empty text), ``taken`` the words that the
-    mix takes from the row, repeats counted, at most 3 times its size.  Null sources
-    are one source, the last; null ids and repeated rows count like others; an empty
-    table gives an empty result; carried columns travel in a struct, so names cannot
-    clash.  Only one row per source and per shard comes to the driver: more than
-    MOST_SOURCES sources raise ValueError, shards grow with the input instead of
-    exceeding MOST_SHARDS beyond one per source.
-    """
+def _taken(docs: DataFrame, carry: list[str], id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``row`` (the carried columns), size, source_size, target, taken, and the source, shard and order that the row stands in."""
     spark = docs.sparkSession
     rows = stage(
         docs.select(
@@ -170,17 +165,77 @@ def mix(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: str
                 0L))"""
     )
     taken = F.when((F.col("size") > 0) & F.col("blocks").isNotNull(), F.col("repeats") * F.col("size") + extra).otherwise(F.lit(0)).cast("long")
+    return joined.select("row", "size", "source_size", "target", taken.alias("taken"), "source", "shard", "order")
+
+
+def mix(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
+    """The ``carry`` columns of every row with size, source_size (long), target (double), taken (long).
+
+    ``size`` counts words (0 for a null or empty text), ``taken`` the words that the
+    mix takes from the row, repeats counted, at most 3 times its size.  Null sources
+    are one source, the last; null ids and repeated rows count like others; an empty
+    table gives an empty result; carried columns travel in a struct, so names cannot
+    clash.  Only one row per source and per shard comes to the driver: more than
+    MOST_SOURCES sources raise ValueError, shards grow with the input instead of
+    exceeding MOST_SHARDS beyond one per source.
+    """
+    rows = _taken(docs, carry, id_col, text_col, source_col, seed)
     clash = {"size", "source_size", "target", "taken"}
-    return joined.select(*[F.col("row")[c].alias(c) for c in carry if c not in clash], "size", "source_size", "target", taken.alias("taken"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in carry if c not in clash], "size", "source_size", "target", "taken")
+
+
+def whole_times(sizes: np.ndarray, orders: np.ndarray, words: int) -> np.ndarray:
+    """How often each document of a shard is kept whole, so that the words kept come to ``words``.
+
+    All are kept ``words // sum(sizes)`` times and some once more.  These are dealt
+    from the longest document down, so that the short ones make up what the long ones
+    leave: a document that fits goes in when the words owed so far exceed a seeded
+    part of its size, or when the rest could not fill the quota without it.  One that
+    doesn't fit goes in only if the rest cannot fill the quota, by a seeded draw with
+    which the words expected are the quota.
+    """
+    whole = int(sizes.sum())
+    out = np.zeros(len(sizes), np.int64)
+    if not whole:
+        return out
+    repeats, need = divmod(int(words), whole)
+    out[sizes > 0] = repeats
+    share, owed, rest = need / whole, 0.0, whole
+    for k in np.lexsort((orders, -sizes)).tolist():
+        size = int(sizes[k])
+        if need <= 0 or not size:
+            break
+        rest -= size
+        owed += share * size
+        draw = (_seeded(int(orders[k]), None, 0) >> 11) / (1 << 53)
+        if size <= need:
+            more = rest < need or owed > draw * size
+        else:
+            more = rest < need and draw * (size - rest) < need - rest
+        if more:
+            out[k] += 1
+            need -= size
+            owed -= size
+    return out
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it: taken words over its size, rounded half up.
+    """The rows of ``docs``, each as often as ``whole_times`` says for the words that the mix takes from its shard.
 
-    Rows without words are left out, as are rows of which less than half is taken.
+    The words of a shard's whole documents differ from its quota by less than a
+    document that is shorter than those chosen before it, usually its shortest.  Rows
+    without words are left out.
     """
     doc = F.struct(*[F.col(c) for c in docs.columns]).alias("__doc")
-    taken = mix(docs.select(doc, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), ["__doc"], "id", "text", "source", seed)
-    times = F.when(F.col("size") > 0, F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).otherwise(0).cast("int")
-    repeated = taken.withColumn("times", times).filter("times > 0").select("__doc", F.explode(F.sequence(F.lit(1), "times")).alias("time"))
-    return repeated.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
+    taken = _taken(docs.select(doc, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), ["__doc"], "id", "text", "source", seed)
+    keyed = stage(taken.filter("size > 0").select("row", "size", "taken", "source", "shard", "order").withColumn("key", F.monotonically_increasing_id()), "mix-taken")
+
+    def choose(shard: pa.Table) -> pa.Table:
+        times = whole_times(shard["size"].to_numpy(), shard["order"].to_numpy(), int(shard["taken"].to_numpy().sum()))
+        kept = np.flatnonzero(times)
+        return pa.table({"key": shard["key"].take(pa.array(kept)), "times": pa.array(times[kept], pa.int32())})
+
+    shards = keyed.select("key", "size", "taken", "source", "shard", "order").groupBy("source", "shard")
+    times = stage(shards.applyInArrow(releasing(choose), "key long, times int"), "mix-times")
+    repeated = keyed.join(times, "key").select("row", F.explode(F.sequence(F.lit(1), "times")).alias("time"))
+    return repeated.select(*[F.col("row")["__doc"][c].alias(c) for c in docs.columns])

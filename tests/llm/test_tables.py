@@ -89,6 +89,33 @@ def test_mix(spark, monkeypatch):
     assert copies.columns == docs.columns and copies.count() > 0
 
 
+def test_whole_documents_meet_the_targets(spark):
+    rnd = np.random.default_rng(15)
+    rows = [(f"{s}{i}", "w " * int(rnd.integers(100, 500)), s) for s in "abcdef" for i in range(80)] + [("none", None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    target = {r.source: r.target for r in source_mix.mix(docs, ["source"]).collect()}
+    kept = source_mix.mixed_documents(docs).collect()
+    words = collections.Counter()
+    for r in kept:
+        words[r.source] += len(WORD.findall(r.text))
+    ratios = {s: target[s] / sum(len(t.split()) for _, t, x in rows if t and x == s) for s in target}
+    assert min(ratios.values()) < 0.5 < max(ratios.values())
+    assert all(abs(words[s] - target[s]) <= 0.02 * target[s] for s in target)
+    assert max(collections.Counter(r.doc_id for r in kept).values()) <= 3
+    assert sorted(kept) == sorted(source_mix.mixed_documents(docs.repartition(5)).collect())
+
+
+def test_whole_times():
+    rnd = np.random.default_rng(16)
+    orders = rnd.integers(-(2**62), 2**62, 2000)
+    sizes = np.concatenate([rnd.integers(1, 2000, 1999), [20000]])
+    for words in (0, 5000, sizes.sum() // 3, sizes.sum(), 2 * sizes.sum() + 999):
+        times = source_mix.whole_times(sizes, orders, words)
+        assert abs((times * sizes).sum() - words) <= 20 and times.max() - times.min() <= 1
+    alone = [source_mix.whole_times(np.array([1000]), np.array([o]), 300)[0] for o in orders]
+    assert 0.25 < np.mean(alone) < 0.35
+
+
 # -- op6 ---------------------------------------------------------------------------
 def test_extract_main_text(spark):
     page = (

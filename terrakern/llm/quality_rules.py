@@ -26,10 +26,9 @@ CONSISTENCY = 1.485
 STEPS = 3
 #: A group with fewer documents rejects none.
 LEAST_GROUP = 40
-#: Squared distance beyond which a document is rejected.
+#: Squared distance beyond which a document is rejected, whatever its length: on sf0.1, 99.9 % of the labelled rows of quality 1
+#: that pass the base rules lie under 55.5, and 98 % of those of quality 0 beyond 69.
 CUTOFF = 60.0
-#: Rates measured on few words are less certain: distances shrink by n / (n + FEW).
-FEW = 100
 #: Thousandths; vectors are clamped to this.
 CLAMP = 12_000
 #: Least standard deviation of each coordinate, in thousandths.
@@ -112,7 +111,7 @@ def _distance(df: DataFrame) -> DataFrame:
         inner = sum((F.col(f"l_{i}_{k}") * F.col(f"__z{k}") for k in range(i)), F.lit(0.0))
         df = df.withColumn(f"__z{i}", (F.col(f"x_{axis}") - F.col(f"m_{i}") - inner) / F.col(f"l_{i}_{i}"))
     square = sum((F.col(f"__z{i}") * F.col(f"__z{i}") for i in range(len(AXES))), F.lit(0.0))
-    return df.withColumn("d2", square * F.col("n_words") / (F.col("n_words") + FEW)).drop(*[f"__z{i}" for i in range(len(AXES))])
+    return df.withColumn("d2", square).drop(*[f"__z{i}" for i in range(len(AXES))])
 
 
 def _fitted(sample: DataFrame, group: list[str], scale: float) -> DataFrame:

@@ -170,6 +170,16 @@ def test_quality_statistics_and_outliers(spark):
     assert quality_rules.verdicts(docs.limit(0), ["doc_id"]).count() == 0
 
 
+def test_short_junk_is_an_outlier(spark):
+    rnd = np.random.default_rng(17)
+    word = lambda: "".join(rnd.choice(list("abcdefgh"), int(rnd.integers(2, 9))))
+    rows = [(i, " ".join(word() for _ in range(int(rnd.integers(16, 200)))), "en", "s") for i in range(300)]
+    junk = [(1000 + i, " ".join(word() + mark for _ in range(16)), "en", "s") for i, mark in enumerate(("&&&", "***", "$$$"))]
+    by = {r.doc_id: r for r in quality_rules.verdicts(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string"), ["doc_id"]).collect()}
+    assert all(by[i].kept for i, *_ in rows)
+    assert not any(by[i].base_failed or by[i].kept for i, *_ in junk)
+
+
 # -- op8 ---------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     import hashlib

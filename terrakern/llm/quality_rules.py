@@ -4,7 +4,9 @@ Each text gives a vector of transformed rates.  For every language and source th
 minimum-covariance-determinant estimate of location and scatter is found by
 concentration steps: start from medians and MADs, keep the three quarters of the
 documents that are nearest, re-estimate mean and covariance from them, measure
-all again.  A document whose Mahalanobis distance is beyond the cutoff goes.
+all again.  The estimate is drawn to that of the language, and this to that of
+the corpus, the more the fewer documents it rests on.  A document whose
+Mahalanobis distance is beyond the cutoff goes.
 
 The vectors are integers (thousandths, clamped), so all sums are exact and every
 run gives the same verdicts, and a percentile holds few distinct values.
@@ -24,16 +26,17 @@ CORE = 0.75
 #: Makes the covariance of the nearest three quarters of 4-dimensional normal data unbiased.
 CONSISTENCY = 1.485
 STEPS = 3
-#: A group with fewer documents rejects none.
-LEAST_GROUP = 40
+#: What a wider group's estimate counts beside a group's own, in documents.
+PRIOR = 40
 #: Squared distance beyond which a document is rejected, whatever its length: on sf0.1, 99.9 % of the labelled rows of quality 1
-#: that pass the base rules lie under 55.5, and 98 % of those of quality 0 beyond 69.
+#: that pass the base rules lie under 55.5, and 98 % of those of quality 0 beyond 60.
 CUTOFF = 60.0
 #: Thousandths; vectors are clamped to this.
 CLAMP = 12_000
 #: Least standard deviation of each coordinate, in thousandths.
 FLOOR = {"word_length": 60.0, "symbols": 250.0, "dup_lines": 400.0, "repeats": 400.0}
 AXES = tuple(FLOOR)
+MOMENTS = tuple([f"m_{i}" for i in range(len(AXES))] + [f"c_{i}_{j}" for i in range(len(AXES)) for j in range(i + 1)])
 DIGITS = 64  # squared distances are compared in steps of 1 / DIGITS
 
 
@@ -114,20 +117,25 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", square).drop(*[f"__z{i}" for i in range(len(AXES))])
 
 
+def _factors(fit: DataFrame, cov: dict[tuple[int, int], Column], keep: list[str]) -> DataFrame:
+    """``keep`` and the lower factor l_i_j of the covariance."""
+    for name, value in _cholesky(cov):
+        fit = fit.withColumn(name, value)
+    return fit.select(*keep, *[f"l_{i}_{j}" for i in range(len(AXES)) for j in range(i + 1)])
+
+
 def _fitted(sample: DataFrame, group: list[str], scale: float) -> DataFrame:
-    """Mean and lower factor of the (floored) covariance per group, from exact integer sums."""
+    """Mean m_i, (floored) covariance c_i_j and its lower factor per group, from exact integer sums over ``n`` rows each."""
     xs = [F.col(f"x_{a}").cast("long") for a in AXES]
-    sums = [F.sum(x).alias(f"s_{i}") for i, x in enumerate(xs)]
-    sums += [F.sum((xs[i] * xs[j]).cast("decimal(38,0)")).alias(f"s_{i}_{j}") for i in range(len(xs)) for j in range(i + 1)]
-    out = sample.groupBy(*group).agg(F.count("*").alias("n_core"), *sums)
+    sums = [F.sum(F.col("n") * x).alias(f"s_{i}") for i, x in enumerate(xs)]
+    sums += [F.sum((F.col("n") * xs[i] * xs[j]).cast("decimal(38,0)")).alias(f"s_{i}_{j}") for i in range(len(xs)) for j in range(i + 1)]
+    out = sample.groupBy(*group).agg(F.sum("n").alias("n_core"), *sums)
     out = out.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("n_core") for i in range(len(xs))})
     cov = {(i, j): scale * (F.col(f"s_{i}_{j}").cast("double") / F.col("n_core") - F.col(f"m_{i}") * F.col(f"m_{j}")) for i in range(len(xs)) for j in range(i + 1)}
     for i, axis in enumerate(AXES):
         cov[i, i] = cov[i, i] + FLOOR[axis] ** 2
-    for name, value in _cholesky(cov):
-        out = out.withColumn(name, value)
-    factors = [f"l_{i}_{j}" for i in range(len(xs)) for j in range(i + 1)]
-    return out.select(*group, *[f"m_{i}" for i in range(len(xs))], *factors)
+    out = out.withColumns({f"c_{i}_{j}": value for (i, j), value in cov.items()})
+    return _factors(out, {key: F.col(f"c_{key[0]}_{key[1]}") for key in cov}, [*group, *MOMENTS])
 
 
 def _joined(rows: DataFrame, by_group: DataFrame, group: list[str]) -> DataFrame:
@@ -140,26 +148,59 @@ def _joined(rows: DataFrame, by_group: DataFrame, group: list[str]) -> DataFrame
     return rows.join(right, condition, "left").drop(*[f"__g_{g}" for g in group])
 
 
-def estimates(vectors: DataFrame, group: list[str]) -> DataFrame:
-    """Minimum-covariance-determinant location and scatter per group, by concentration steps.
+def _core_fits(counts: DataFrame, group: list[str]) -> DataFrame:
+    """Minimum-covariance-determinant location and scatter per group, by concentration steps, with n_group.
 
-    Groups with fewer than LEAST_GROUP rows have none.  Each step is an aggregation
+    Each of ``counts`` stands for ``n`` equal vectors.  Each step is an aggregation
     with partial sums and a join with one row per group.
     """
-    size = vectors.groupBy(*group).agg(F.count("*").alias("n_group"), *[F.expr(f"percentile(x_{a}, 0.5)").alias(f"m_{i}") for i, a in enumerate(AXES)])
-    size = size.filter(F.col("n_group") >= LEAST_GROUP).drop("n_group")
-    away = _joined(vectors, size, group).filter(F.col("m_0").isNotNull())
-    mads = away.groupBy(*group).agg(*[F.expr(f"percentile(cast(abs(x_{a} - m_{i}) as int), 0.5)").alias(f"w_{i}") for i, a in enumerate(AXES)])
+    found = counts.groupBy(*group).agg(F.sum("n").alias("n_group"), *[F.expr(f"percentile(x_{a}, 0.5, n)").alias(f"m_{i}") for i, a in enumerate(AXES)])
+    found = stage(found, "quality-fit")
+    medians = found.drop("n_group")
+    mads = _joined(counts, medians, group).groupBy(*group).agg(*[F.expr(f"percentile(cast(abs(x_{a} - m_{i}) as int), 0.5, n)").alias(f"w_{i}") for i, a in enumerate(AXES)])
     start = {f"l_{i}_{j}": F.sqrt((1.4826 * F.col(f"w_{i}")) ** 2 + FLOOR[AXES[i]] ** 2) if i == j else F.lit(0.0) for i in range(len(AXES)) for j in range(i + 1)}
-    fit = _joined(size, mads, group).withColumns(start).drop(*[f"w_{i}" for i in range(len(AXES))])
+    fit = _joined(medians, mads, group).withColumns(start).drop(*[f"w_{i}" for i in range(len(AXES))])
     for _ in range(STEPS):
         fit = stage(fit, "quality-fit")
-        measured = _distance(_joined(vectors, fit, group).filter(F.col("m_0").isNotNull()))
+        measured = _distance(_joined(counts, fit, group))
         measured = measured.withColumn("bin", F.least(F.floor(F.col("d2") * DIGITS), F.lit(1 << 16)).cast("int"))
-        within = measured.groupBy(*group).agg(F.expr(f"percentile(bin, {CORE})").alias("edge"))
-        core = _joined(measured.select(*vectors.columns, "bin"), within, group).filter(F.col("bin") <= F.ceil("edge"))
+        within = measured.groupBy(*group).agg(F.expr(f"percentile(bin, {CORE}, n)").alias("edge"))
+        core = _joined(measured.select(*counts.columns, "bin"), within, group).filter(F.col("bin") <= F.ceil("edge"))
         fit = _fitted(core, group, CONSISTENCY)
-    return stage(fit, "quality-fit")
+    return stage(_joined(found.select(*group, "n_group"), fit.select(*group, *MOMENTS), group), "quality-fit")
+
+
+def _pooled(fits: DataFrame, wider: DataFrame, on: list[str]) -> DataFrame:
+    """``fits`` with each moment drawn to that of the wider group, which counts as PRIOR documents."""
+    wide = wider.select(*on, *[F.col(m).alias(f"wide_{m}") for m in MOMENTS])
+    both = _joined(fits, wide, on) if on else fits.crossJoin(F.broadcast(wide))
+    drawn = {m: (F.col("n_group") * F.col(m) + PRIOR * F.col(f"wide_{m}")) / (F.col("n_group") + PRIOR) for m in MOMENTS}
+    return both.withColumns(drawn).drop(*[f"wide_{m}" for m in MOMENTS])
+
+
+def estimates(vectors: DataFrame) -> DataFrame:
+    """Centre m_i and factor l_i_j for every language and source with a row in ``vectors``.
+
+    The corpus, each language, and each language and source are fitted by
+    themselves; a language's moments are then drawn to the corpus's, and those of a
+    language and source to its language's, by n / (n + PRIOR).  So a group of any
+    size has an estimate, and the few rows of a small one do not make their own norm.
+    Equal vectors are counted first, so the fits grow with the distinct ones.
+    """
+    xs = [f"x_{a}" for a in AXES]
+    counts = stage(vectors.groupBy("lang", "source", *xs).agg(F.count("*").alias("n")), "quality-counts")
+    by_lang = counts.groupBy("lang", *xs).agg(F.sum("n").alias("n"))
+    everything = counts.groupBy(*xs).agg(F.sum("n").alias("n"))
+    levels = [
+        everything.select(F.lit(0).alias("level"), F.lit(None).cast(counts.schema["lang"].dataType).alias("lang"), F.lit(None).cast(counts.schema["source"].dataType).alias("source"), *xs, "n"),
+        by_lang.select(F.lit(1).alias("level"), "lang", F.lit(None).cast(counts.schema["source"].dataType).alias("source"), *xs, "n"),
+        counts.select(F.lit(2).alias("level"), "lang", "source", *xs, "n"),
+    ]
+    fits = _core_fits(stage(levels[0].union(levels[1]).union(levels[2]), "quality-counts"), ["level", "lang", "source"])
+    corpus, langs, groups = (fits.filter(F.col("level") == k).drop("level") for k in range(3))
+    pooled = _pooled(groups, _pooled(langs, corpus, []), ["lang"])
+    cov = {(i, j): F.col(f"c_{i}_{j}") for i in range(len(AXES)) for j in range(i + 1)}
+    return stage(_factors(pooled, cov, ["lang", "source", *[f"m_{i}" for i in range(len(AXES))]]), "quality-fit")
 
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -169,9 +210,9 @@ def verdicts(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col
     """The ``carry`` columns of every row, with the statistics, base_failed, distance2 and kept.
 
     A row is kept unless it fails the base rules or its vector lies beyond CUTOFF in
-    its language and source (nulls are a group of their own; groups under
-    LEAST_GROUP rows that pass the base rules reject none).  Estimates rest on rows
-    that pass the base rules.  Null ids and repeated rows are judged like others and
+    its language and source (nulls are a group of their own; small groups are judged
+    mostly by their language, or by the corpus).  Estimates rest on rows that pass
+    the base rules.  Null ids and repeated rows are judged like others and
     an empty table gives an empty result.  Carried columns travel in a struct, so
     their names cannot clash inside; one named like an added column is replaced.
     Statistics and carried columns are staged once in the shared folder.
@@ -181,14 +222,13 @@ def verdicts(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col
         F.struct(*[F.col(c) for c in carry]).alias("__row"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source")
     )
     rows = stage(with_statistics(held).withColumns(_vector()).drop("text"), "quality")
-    numbers = rows.drop("__row", *STATISTICS[1:])
-    fit = estimates(numbers.filter(~F.col("base_failed")).drop("base_failed"), group)
+    fit = estimates(rows.filter(~F.col("base_failed")))
     judged = _distance(_joined(rows, fit, group))
     added = [
         *[F.col(c) for c in STATISTICS],
         F.col("base_failed"),
         F.when(~F.col("base_failed"), F.col("d2")).alias("distance2"),
-        (~F.col("base_failed") & ~F.coalesce(F.col("d2") > CUTOFF, F.lit(False))).alias("kept"),
+        (~F.col("base_failed") & (F.col("d2") <= CUTOFF)).alias("kept"),
     ]
     clash = {*STATISTICS, "base_failed", "distance2", "kept"}
     return judged.select(*[F.col("__row")[c].alias(c) for c in carry if c not in clash], *added)

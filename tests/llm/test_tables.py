@@ -180,6 +180,19 @@ def test_short_junk_is_an_outlier(spark):
     assert not any(by[i].base_failed or by[i].kept for i, *_ in junk)
 
 
+def test_small_groups_are_judged_too(spark):
+    rnd = np.random.default_rng(18)
+    word = lambda: "".join(rnd.choice(list("abcdefgh"), int(rnd.integers(2, 9))))
+    text = lambda mark="": " ".join(word() + mark for _ in range(int(rnd.integers(30, 200))))
+    rows = [(i, text(), "en", f"s{i % 30}") for i in range(300)] + [(400 + i, text(), None, None) for i in range(3)] + [(500, text(), "xx", "s")]
+    junk = [(1000 + i, text("$$$"), "en", f"s{i}") for i in range(5)] + [(1010 + i, text("&&"), "en", "alone") for i in range(2)] + [(1020, text("***"), None, None), (1021, text("***"), "yy", None)]
+    docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string")
+    by = {r.doc_id: r for r in quality_rules.verdicts(docs, ["doc_id"]).collect()}
+    assert len(by) == len(rows + junk) and all(r.distance2 is not None for r in by.values())
+    assert all(by[i].kept for i, *_ in rows)
+    assert not any(by[i].base_failed or by[i].kept for i, *_ in junk)
+
+
 # -- op8 ---------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     import hashlib

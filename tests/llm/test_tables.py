@@ -193,6 +193,41 @@ def test_small_groups_are_judged_too(spark):
     assert not any(by[i].base_failed or by[i].kept for i, *_ in junk)
 
 
+def test_fits_are_of_least_determinant(spark):
+    rnd = np.random.default_rng(19)
+    floor = np.array(list(quality_rules.FLOOR.values()))
+    rows = []
+    for k, share in enumerate((0.0, 0.3, 0.45)):  # share of rows in a second cloud
+        shape = rnd.normal(size=(4, 4)) * 900
+        x = rnd.normal(size=(120, 4)) @ shape
+        x[: int(120 * share)] = x[: int(120 * share)] * 0.3 + rnd.normal(size=4) * 2500
+        rows += [(f"g{k}", *map(int, v), 1) for v in np.clip(x, -12000, 12000)]
+    counts = spark.createDataFrame(rows, "g string, " + ", ".join(f"x_{a} int" for a in quality_rules.AXES) + ", n long")
+    got = {r.g: r for r in quality_rules._core_fits(counts, ["g"]).collect()}
+    assert len(got) == 3
+
+    def step(x, m, c):
+        d = np.floor(np.minimum(np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m) * quality_rules.DIGITS, 1 << 16))
+        core = x[d <= np.ceil(np.percentile(d, 100 * quality_rules.CORE))]
+        return core.mean(0), quality_rules.CONSISTENCY * np.cov(core.T, bias=True) + np.diag(floor**2)
+
+    def ended(x, m, c):
+        least = np.inf
+        while (now := np.linalg.slogdet((mc := step(x, m, c))[1])[1]) < least - 1e-9:
+            least, (m, c) = now, mc
+        return least
+
+    for g, r in got.items():
+        x = np.array([v[1:5] for v in rows if v[0] == g], float)
+        c = np.array([[r[f"c_{max(i, j)}_{min(i, j)}"] for j in range(4)] for i in range(4)])
+        found = np.linalg.slogdet(c)[1]
+        m = np.median(x, 0)
+        spread = np.sqrt((1.4826 * np.floor(np.median(np.floor(np.abs(x - m)), 0))) ** 2 + floor**2)
+        assert r.n_group == 120
+        assert found <= ended(x, np.array([r[f"m_{i}"] for i in range(4)]), c) + 1e-6  # a further step gains nothing
+        assert found <= ended(x, m, np.diag(spread**2)) + 1e-3 and found <= ended(x, x.mean(0), np.cov(x.T, bias=True) + np.diag(floor**2)) + 1e-6
+
+
 # -- op8 ---------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     import hashlib

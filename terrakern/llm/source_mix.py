@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 Targets follow from the sources' sizes and weights.  The words of the mix are cut
-into blocks of BLOCK_WORDS; blocks go to sources by highest quotients, and a
-source's blocks to its shards in the same way, so that every shard has an integer
-quota.  Within a shard, documents stand in a seeded order and their words are cut
+into blocks of about BLOCK_WORDS (a shard of fewer words is one block); blocks go
+to sources by highest quotients of their targets in blocks of their own size, and
+a source's blocks to its shards in the same way, so that every shard has an
+integer quota.  Within a shard, documents stand in a seeded order and their words are cut
 into equal blocks; all blocks are taken as often as the quota allows, and a seeded
 choice of them once more.
 
@@ -109,11 +110,11 @@ def plan_shards(shards: list[tuple[str | None, int, int]], goal: dict[str | None
         if words:
             by_source[source].append((shard, words))
     cut = {s: np.array([max(1, round(w / BLOCK_WORDS)) for _, w in by_source[s]], np.int64) for s in sources}
-    total = round(sum(goal.values()) / BLOCK_WORDS)
-    seats = apportion(np.array([goal[s] for s in sources]), total, np.array([MOST_REPEATS * cut[s].sum() for s in sources]))
+    wanted = np.array([goal[s] * cut[s].sum() / max(1, sum(w for _, w in by_source[s])) for s in sources])  # blocks of the source's own size
+    seats = apportion(wanted, round(wanted.sum()), np.array([MOST_REPEATS * cut[s].sum() for s in sources]))
     out = []
     for source, given in zip(sources, seats.tolist(), strict=True):
-        quotas = apportion(np.array([w for _, w in by_source[source]]), given, MOST_REPEATS * cut[source]) if by_source[source] else []
+        quotas = apportion(cut[source], given, MOST_REPEATS * cut[source]) if by_source[source] else []
         for (shard, _), blocks, quota in zip(by_source[source], cut[source].tolist(), list(map(int, quotas)), strict=True):
             draw = _seeded(seed, source, shard)
             step = draw % blocks or 1

@@ -89,6 +89,16 @@ def test_mix(spark, monkeypatch):
     assert copies.columns == docs.columns and copies.count() > 0
 
 
+def test_tiny_sources_meet_their_targets(spark):
+    rows = [(i, "w " * (k + 1), f"t{k:02}") for i, k in enumerate(range(12))] + [(100 + i, "w " * 300, "z") for i in range(20)]
+    got = source_mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), ["source"]).collect()
+    for r in got:
+        if r.source != "z":
+            assert r.target == 3 * r["size"] and r.taken == r.target
+    big = [r for r in got if r.source == "z"]
+    assert abs(sum(r.taken for r in big) - big[0].target) <= 16
+
+
 def test_whole_documents_meet_the_targets(spark):
     rnd = np.random.default_rng(15)
     rows = [(f"{s}{i}", "w " * int(rnd.integers(100, 500)), s) for s in "abcdef" for i in range(80)] + [("none", None, "a")]

@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrakern.llm.byte_bpe import REMEMBERED, ByteBPE, loaded, vocabulary_text
+from terrakern.llm.byte_bpe import LONG, REMEMBERED, REMEMBERED_BYTES, ByteBPE, loaded, vocabulary_text
 from terrakern.llm.common import arrow_schema, bounded_batches
 
 #: Stands in for the second token where a token is tested alone.
 ALONE = (1 << 31) - 1
+#: Known pairs before a worker starts afresh, and new ones before they join the rest.
+MOST_PAIRS, MOST_NEW = 1 << 21, 1 << 15
 
 
 class Codec:
@@ -30,40 +32,50 @@ class Codec:
 
     def __init__(self, bpe: ByteBPE):
         self.bpe = bpe
-        self.words: dict[bytes, list[int]] = {w: [i] for w, i in bpe.special_bytes.items()}
-        self.pairs = np.zeros(0, np.int64)
-        self.fits = np.zeros(0, bool)
+        self._forget()
         self.exact_merges = 0
 
+    def _forget(self) -> None:
+        self.words: dict[bytes, list[int]] = {w: [i] for w, i in self.bpe.special_bytes.items()}
+        self.held = 0
+        none = (np.zeros(0, np.int64), np.zeros(0, bool))
+        #: Tables of pairs (sorted keys, verdicts): all but the newest, and the newest.
+        self.old, self.new = none, none
+
     # -- speculate -----------------------------------------------------------
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match from the left."""
-        ids, longest, at, out = self.bpe.ids, self.bpe.longest, 0, []
+        ids, lengths, at, out = self.bpe.ids, self.bpe.lengths, 0, []
         whole = ids.get(word)
         if whole is not None:
             return [whole]
         while at < len(word):
-            end = min(len(word), at + longest)
-            while (found := ids.get(word[at:end])) is None:
-                end -= 1
+            for size in (*lengths.get(word[at : at + 3], ()), 2, 1):
+                found = ids.get(word[at : at + size])
+                if found is not None and at + size <= len(word):
+                    break
             out.append(found)
-            at = end
+            at += size
         return out
 
     # -- verify --------------------------------------------------------------
     def compatible(self, keys: np.ndarray) -> np.ndarray:
         """Whether each pair key (a << 32 | b) is compatible; new ones are worked out once."""
         distinct, back = np.unique(keys, return_inverse=True)
-        at = np.searchsorted(self.pairs, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.pairs)
-        known[inside] = self.pairs[at[inside]] == distinct[inside]
+        fits, known = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
+        for table, verdicts in (self.old, self.new):
+            at = np.searchsorted(table, distinct)
+            inside = np.flatnonzero(at < len(table))
+            inside = inside[table[at[inside]] == distinct[inside]]
+            known[inside], fits[inside] = True, verdicts[at[inside]]
         if not known.all():
-            new = distinct[~known]
-            verdicts = self._fit(new)
-            self.pairs, self.fits = np.insert(self.pairs, at[~known], new), np.insert(self.fits, at[~known], verdicts)
-            at = np.searchsorted(self.pairs, distinct)
-        return self.fits[at][back]
+            fresh = distinct[~known]
+            fits[~known] = self._fit(fresh)
+            self.new = _joined(self.new, (fresh, fits[~known]))
+            if len(self.new[0]) > MOST_NEW:
+                self.old = _joined(self.old, self.new) if len(self.old[0]) < MOST_PAIRS else self.new
+                self.new = (np.zeros(0, np.int64), np.zeros(0, bool))
+        return fits[back]
 
     def _fit(self, keys: np.ndarray) -> np.ndarray:
         """Merges the bytes of both tokens of each key: do the same two come out?"""
@@ -75,16 +87,13 @@ class Codec:
         last = first + np.where(alone, 0, n - 1)
         return (n == np.where(alone, 1, 2)) & (out[first] == left) & (alone | (out[last] == right))
 
-    def learn(self, words: list[bytes], need: list[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Encode new words: propose, test all adjacent pairs, merge exactly what fails.
 
-        After a fresh start all of ``need`` are encoded.
+        Returns the long words; they are not remembered.
         """
-        if len(self.words) > REMEMBERED:
-            self.words = {w: [i] for w, i in self.bpe.special_bytes.items()}
-            words = need
         if not words:
-            return
+            return {}
         proposals = [self.propose(w) for w in words]
         sizes = np.fromiter(map(len, proposals), np.int64, len(proposals))
         flat = np.fromiter((t for p in proposals for t in p), np.int64, int(sizes.sum()))
@@ -100,13 +109,22 @@ class Codec:
             for k, ids in zip(failing, np.split(merged, np.cumsum(n)[:-1]), strict=True):
                 proposals[k] = ids.tolist()
             self.exact_merges += len(failing)
-        self.words.update(zip(words, proposals, strict=True))
+        once = {}
+        for word, ids in zip(words, proposals, strict=True):
+            if len(word) > LONG:
+                once[word] = ids
+            else:
+                self.words[word] = ids
+                self.held += len(word)
+        return once
 
     # -- texts ---------------------------------------------------------------
     def known(self, words: list[bytes]) -> list[list[int]]:
         """Ids of the (distinct) words."""
-        self.learn([w for w in words if w not in self.words], words)
-        return [self.words[w] for w in words]
+        if len(self.words) > REMEMBERED or self.held > REMEMBERED_BYTES:
+            self._forget()
+        once = self.learn([w for w in words if w not in self.words])
+        return [self.words[w] if w in self.words else once[w] for w in words]
 
     def encode(self, text: str) -> list[int]:
         out = []
@@ -132,6 +150,13 @@ class Codec:
         return b"".join([special[i] if i in special else of[i] for i in ids]).decode("utf-8", errors="replace")
 
 
+def _joined(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Both tables of pairs as one."""
+    keys, verdicts = (np.concatenate((a[k], b[k])) for k in range(2))
+    order = np.argsort(keys, kind="stable")
+    return keys[order], verdicts[order]
+
+
 _codecs: dict[int, Codec] = {}
 
 
@@ -217,10 +242,11 @@ class _Digest:
         return self.n, self.coded.hexdigest(), self.plain.hexdigest()
 
 
-def digests(codec: Codec, texts: list[str | None]) -> list[tuple[int, str, str]]:
+def digests(codec: Codec, texts: list[str | None], ids_of: list[list[np.ndarray]] | None = None) -> list[tuple[int, str, str]]:
     """For each text: number of ids, digest of the ids, digest of the text decoded from them.
 
     Words new to the worker are learnt together, for several texts at a time.
+    ``ids_of``, a list for each text, takes the ids themselves.
     """
     out = [_Digest() for _ in texts]
     of = codec.bpe.bytes_of | {i: w for w, i in codec.bpe.special_bytes.items()}
@@ -232,8 +258,11 @@ def digests(codec: Codec, texts: list[str | None]) -> list[tuple[int, str, str]]
         n = np.concatenate(([0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[which.to_numpy()])))
         firsts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         (coded, at), (plain, to) = _laid_out(coded), _laid_out(plain)
+        flat = pa.array(ids, pa.list_(pa.int32())).take(which).flatten().to_numpy() if ids_of is not None else None
         for a, b in zip(firsts.tolist(), [*firsts[1:].tolist(), len(owner)], strict=True):
             out[owner[a]].add(int(n[b] - n[a]), coded[at[a] : at[b]], bytes(plain[to[a] : to[b]]))
+            if flat is not None:
+                ids_of[owner[a]].append(flat[n[a] : n[b]])
     return [x.end() for x in out]
 
 
@@ -271,8 +300,10 @@ def encode_documents(docs: DataFrame, carry: list[str], vocabulary: str, text_co
         codec = _codec(content.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = codec.encode_many(texts)
-            n, coded, decoded = zip(*digests(codec, texts), strict=True) if texts else ((), (), ())
+            parts: list[list[np.ndarray]] = [[] for _ in texts]
+            n, coded, decoded = zip(*digests(codec, texts, parts), strict=True) if texts else ((), (), ())
+            flat = np.concatenate([np.zeros(0, np.int32), *[p for text in parts for p in text]])
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(flat, pa.int32()))
             columns = [batch.column(0), pa.array(n, pa.int64()), ids, pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import sys
@@ -18,8 +19,10 @@ from tokenizers.pre_tokenizers import ByteLevel
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Texts longer than this many characters are handled piece by piece.
 PIECE = 1 << 20
-#: Words whose results a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Words whose results a worker remembers, and bytes of them, before it starts afresh; longer words than LONG are never remembered.
+REMEMBERED, REMEMBERED_BYTES = 400_000, 16 << 20
+#: Words of more bytes are merged by the places of each rank instead of in rounds over all symbols.
+LONG = 256
 #: Characters of text that are split into words at a time.
 GROUP = 4 << 20
 NO_RANK = np.iinfo(np.int32).max
@@ -129,7 +132,12 @@ class ByteBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_bytes = {s.encode(): i for s, i in self.special.items()}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.longest = max(map(len, self.ids))
+        # lengths of the tokens that start with three bytes, longest first
+        starting: dict[bytes, set[int]] = {}
+        for t in self.ids:
+            if len(t) > 2:
+                starting.setdefault(t[:3], set()).add(len(t))
+        self.lengths = {start: sorted(found, reverse=True) for start, found in starting.items()}
         self.byte_id = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         left = np.array([spec["model"]["vocab"][a] for a, _ in merges], np.int64)
@@ -181,9 +189,17 @@ class ByteBPE:
         """Merge many (non-empty) words at once; their symbols, one word after the other, and their numbers.
 
         The words are one ragged array.  In each round every word applies its own
-        lowest-ranked pair at all its places; a word without one is finished.
+        lowest-ranked pair at all its places; a word without one is finished.  Words
+        of over LONG bytes apart: see :meth:`merge_long`.
         """
         lengths = np.fromiter(map(len, words), np.int64, len(words))
+        if (lengths > LONG).any():
+            merged, counts = [np.zeros(0, np.int64)] * len(words), np.zeros(len(words), np.int64)
+            for part, merge in ((np.flatnonzero(lengths <= LONG), self.merge_together), (np.flatnonzero(lengths > LONG), self.merge_long)):
+                symbols, counts[part] = merge([words[k] for k in part.tolist()])
+                for k, s in zip(part.tolist(), np.split(symbols, np.cumsum(counts[part])[:-1]) if len(part) else [], strict=True):
+                    merged[k] = s
+            return np.concatenate(merged), counts
         symbols = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), lengths)
         counts = np.zeros(len(words), np.int64)
@@ -210,6 +226,61 @@ class ByteBPE:
         owners = np.concatenate([o for o, _ in finished] or [owner])
         return np.concatenate([x for _, x in finished] or [symbols])[np.argsort(owners, kind="stable")], counts
 
+    def merge_long(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`merge_together`, for long words: in about linear time, by linked symbols.
+
+        The pairs' places are kept by rank.  The lowest rank is taken from all its
+        places at once; only the pairs beside them are looked up again.
+        """
+        symbols = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        n = len(symbols)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)  # place n is a wall
+        symbols = np.append(symbols, 0)
+        wall = np.zeros(n + 1, bool)  # no pair starts here
+        wall[ends - 1], wall[n] = True, True
+        rank, made = np.full(n + 1, NO_RANK, np.int32), np.zeros(n + 1, np.int64)
+        alive = np.ones(n + 1, bool)
+        places: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def look_up(at: np.ndarray) -> None:
+            at = at[~wall[at]]
+            found, pair = self.lookup(symbols[at], symbols[after[at]])
+            rank[at] = found
+            hit = found != NO_RANK
+            at, found = at[hit], found[hit]
+            made[at] = self.pair_made[pair[hit]]
+            order = np.argsort(found, kind="stable")
+            at, found = at[order], found[order]
+            starts = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else found
+            for r, part in zip(found[starts].tolist(), np.split(at, starts[1:]) if len(found) else [], strict=True):
+                if r not in places:
+                    places[r] = []
+                    heapq.heappush(waiting, r)
+                places[r].append(part)
+
+        look_up(np.arange(n))
+        while waiting:
+            lowest = heapq.heappop(waiting)
+            at = np.unique(np.concatenate(places.pop(lowest)))
+            at = at[alive[at] & (rank[at] == lowest)]
+            if not len(at):
+                continue
+            # where a pair overlaps itself (aaa), every second place counts, from the left
+            order = np.arange(len(at))
+            run_start = np.maximum.accumulate(np.where(np.append(True, after[at[:-1]] != at[1:]), order, 0))
+            at = at[(order - run_start) % 2 == 0]
+            gone = after[at]
+            symbols[at], wall[at] = made[at], wall[gone]
+            alive[gone], rank[gone], rank[at] = False, NO_RANK, NO_RANK
+            after[at] = after[gone]
+            before[after[at]] = at
+            beside = before[at]
+            look_up(np.unique(np.concatenate((at, beside[(beside >= 0)]))))
+        kept = np.flatnonzero(alive[:n])
+        return symbols[kept], np.diff(np.append(0, np.searchsorted(kept, ends)))
+
 
 _loaded: dict[int, ByteBPE] = {}
 

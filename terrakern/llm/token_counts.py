@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrakern.llm.byte_bpe import REMEMBERED, ByteBPE, loaded, vocabulary_text
+from terrakern.llm.byte_bpe import LONG, REMEMBERED, REMEMBERED_BYTES, ByteBPE, loaded, vocabulary_text
 from terrakern.llm.common import bounded_batches
 
 #: Words merged together in one ragged array hold about this many bytes.
@@ -26,12 +26,14 @@ class Counter:
     """Counts tokens of texts; remembers the counts of words it has merged."""
 
     def __init__(self, bpe: ByteBPE):
-        self.bpe, self.known = bpe, {}
+        self.bpe, self.known, self.held = bpe, {}, 0
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Number of tokens of each of the (distinct) words."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_BYTES:
             self.known.clear()
+            self.held = 0
+        once: dict[bytes, int] = {}  # long words are not remembered
         batch, size = [], 0
         for word in words:
             if word in self.known:
@@ -42,14 +44,19 @@ class Counter:
             batch.append(word)
             size += len(word)
             if size >= RAGGED_BYTES:
-                self._merge(batch)
+                self._merge(batch, once)
                 batch, size = [], 0
         if batch:
-            self._merge(batch)
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self._merge(batch, once)
+        return np.fromiter((self.known[w] if w in self.known else once[w] for w in words), np.int64, len(words))
 
-    def _merge(self, words: list[bytes]) -> None:
-        self.known.update(zip(words, self.bpe.merge_together(words)[1].tolist(), strict=True))
+    def _merge(self, words: list[bytes], once: dict[bytes, int]) -> None:
+        for word, n in zip(words, self.bpe.merge_together(words)[1].tolist(), strict=True):
+            if len(word) > LONG:
+                once[word] = n
+            else:
+                self.known[word] = n
+                self.held += len(word)
 
     def count(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros(len(texts), np.int64)
@@ -67,7 +74,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
     ``vocabulary`` is the path of a byte-level BPE ``tokenizers`` JSON file; its
     content, of fixed size, is broadcast.  Null and empty texts have 0 bytes and 0
-    tokens; null ids and repeated rows pass through; an empty table gives an empty
+    tokens; words of any length take time about in proportion to it; null ids and repeated rows pass through; an empty table gives an empty
     result; other columns are not read.  No shuffle.
     """
     bounded_batches(docs.sparkSession)

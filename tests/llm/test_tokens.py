@@ -59,6 +59,44 @@ def test_long_texts_are_cut_where_words_start(bpe, library, monkeypatch):
     assert Codec(bpe).encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("alphabet", ["a", "ACGT", "abcdefghijklmnopqrstuvwxyz", "ABab01+/", "é中👍a"])
+def test_long_words_equal_the_library(bpe, library, alphabet):
+    rnd = random.Random(3)
+    for n in (255, 256, 257, 300, 20_011):
+        word = "".join(rnd.choices(alphabet, k=n))
+        text = f"so {word} and {word[:400]} {word}"
+        want = library.encode(text, add_special_tokens=False).ids
+        assert Codec(bpe).encode(text) == want
+        assert Counter(bpe).count([text]).tolist() == [len(want)]
+
+
+def test_ten_megabytes_without_a_space(bpe, library):
+    import time
+
+    word = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz", k=1000)) * 10_000
+    counter = Counter(bpe)
+    began = time.perf_counter()
+    n = counter.count([word])[0]
+    assert time.perf_counter() - began < 60
+    assert n == len(library.encode(word, add_special_tokens=False).ids)
+    assert counter.held < 1000  # it is not remembered
+
+
+def test_caches_start_afresh(bpe, library, monkeypatch):
+    from terrakern.llm import bpe_codec, token_counts
+
+    samples = texts()
+    want = [e.ids for e in library.encode_batch(samples, add_special_tokens=False)]
+    for module in (bpe_codec, token_counts):
+        monkeypatch.setattr(module, "REMEMBERED_BYTES", 300)
+    monkeypatch.setattr(bpe_codec, "MOST_NEW", 5)
+    monkeypatch.setattr(bpe_codec, "MOST_PAIRS", 50)
+    codec, counter = Codec(bpe), Counter(bpe)
+    assert [codec.encode(t) for t in samples] == want
+    assert [int(counter.count([t])[0]) for t in samples] == list(map(len, want))
+    assert len(codec.old[0]) < 4000
+
+
 def test_queries_on_frames(spark, library):
     rows = [(1, "the cat sat", 9), (1, "the cat sat", 9), (None, "x", 1), (2, None, 2), (3, "", 3), (4, "word " * 700, 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")

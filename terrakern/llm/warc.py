@@ -1,8 +1,9 @@
 """WARC archives: a writer of plain Spark expressions and a salvage reader.
 
-The writer makes one WARC/1.1 record per page and lets Spark's text writer put
-them, gzipped, on whatever file system the folder is on.  The reader takes whole
-files (gzip of one or many members, or plain), and where a check fails it looks
+The writer makes one WARC/1.1 record per page, each a gzip member of its own, and
+lets Spark's text writer put them on whatever file system the folder is on; an empty
+gzip member, which adds nothing to the content, separates the records.  The reader
+takes whole files (gzip of one or many members, or plain), and where a check fails it looks
 for the next valid gzip member or version line, goes on from there, and logs the
 bytes in between as a quarantined gap.
 """
@@ -10,7 +11,9 @@ bytes in between as a quarantined gap.
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrakern.llm.common import bounded_batches, shared_dir
+from terrakern.llm.common import bounded_batches, shared_dir, stage
 
 #: Payloads under this many bytes are never deduplicated.
 LEAST_REVISIT = 100
@@ -29,6 +32,10 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
 FEED = 1 << 16
+#: Fixed value: a gzip member of nothing.
+EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + bytes(8)
+#: Archives aim at this many bytes of payload, so that a reader's task holds one of them.
+FILE_BYTES = 32 << 20
 
 
 # -- writing -------------------------------------------------------------------
@@ -76,16 +83,35 @@ def record_text(id_col: str = "page_id", url_col: str = "url", html_col: str = "
     return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), head, body)
 
 
-def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", records_per_file: int = 20_000) -> None:
-    """Write one record per page into gzipped archives in ``folder`` (any file system of Spark's).
+def gzip_member(record: bytes) -> bytes:
+    """The record with its closing blank lines as one gzip member."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -zlib.MAX_WBITS)
+    whole = record + b"\r\n\r\n"
+    return EMPTY_MEMBER[:10] + packer.compress(whole) + packer.flush() + struct.pack("<II", zlib.crc32(whole), len(whole) & 0xFFFFFFFF)
+
+
+def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", records_per_file: int | None = None) -> None:
+    """Write one record per page, a gzip member each, into archives in ``folder`` (any file system of Spark's).
 
     Equal payloads of at least LEAST_REVISIT bytes are written once, by the smallest
     id; the others become revisit records.  Null html is an empty payload, a null url
-    an empty one; other columns are not read.
+    an empty one; other columns are not read.  Unless ``records_per_file`` is given,
+    files aim at FILE_BYTES by the mean size of a page.
     """
+    if records_per_file is None:
+        size = pages.agg(F.sum(F.octet_length(html_col)).alias("bytes"), F.count("*").alias("n")).first()
+        records_per_file = max(1, FILE_BYTES // (1000 + (size["bytes"] or 0) // max(1, size["n"])))
+    bounded_batches(pages.sparkSession, 500)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([gzip_member(r) for r in batch.column(0).to_pylist()], pa.binary())], ["value"])
+
     rows = with_references(pages.select(id_col, url_col, html_col), id_col, html_col)
-    text = rows.select(record_text(id_col, url_col, html_col).alias("value"))
-    text.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(folder)
+    members = rows.select(record_text(id_col, url_col, html_col).cast("binary").alias("value")).mapInArrow(pack, "value binary")
+    # a cast from binary keeps the bytes as they are, and so does the writer
+    out = members.select(F.col("value").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
+    out.option("compression", "none").option("maxRecordsPerFile", records_per_file).text(folder)
 
 
 # -- reading -------------------------------------------------------------------
@@ -247,10 +273,33 @@ def page_of(record_id: Column) -> Column:
     return F.regexp_extract(record_id, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
 
 
+def quarantined(found: DataFrame) -> DataFrame:
+    """The gaps among what :func:`read_warc` found: path, stream, offset, length, gap."""
+    return found.filter(F.col("gap").isNotNull()).select("path", "stream", "offset", "length", "gap")
+
+
+def salvage_folder(spark: SparkSession, folder: str, with_payload: bool = True) -> tuple[DataFrame, DataFrame, int]:
+    """Read all archives of a folder: the records, the log of gaps, and how many gaps there are.
+
+    Both are staged tables in the shared folder, so the files are read once; every
+    gap is a row of the log, and their number and bytes go to Python's log as well.
+    """
+    found = stage(read_warc(spark.read.format("binaryFile").load(folder), with_payload), "warc-found")
+    log = quarantined(found)
+    lost = log.agg(F.count("*").alias("gaps"), F.sum("length").alias("bytes"), F.count_distinct("path").alias("files")).first()
+    if lost["gaps"]:
+        logging.getLogger(__name__).warning("%s gaps of %s bytes quarantined in %s files of %s", lost["gaps"], lost["bytes"], lost["files"], folder)
+    return found.filter(F.col("gap").isNull()).drop("gap"), log, lost["gaps"]
+
+
 def archive_round_trip(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write ``pages`` as archives in the shared folder, read them back, one row per record."""
+    """Write ``pages`` as archives in the shared folder, read them back, one row per record.
+
+    These archives are our own, so a gap means lost pages: it raises RuntimeError.
+    """
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(pages, folder, id_col, url_col, html_col)
-    files = spark.read.format("binaryFile").load(folder)
-    found = read_warc(files, with_payload=False).filter(F.col("gap").isNull())
+    found, _, gaps = salvage_folder(spark, folder, with_payload=False)
+    if gaps:
+        raise RuntimeError(f"{gaps} gaps in the archives just written to {folder}")
     return found.select(page_of(F.col("record_id")).alias(id_col), "payload_bytes", "payload_digest", "record_type", page_of(F.col("refers_to")).alias("refers_to"))

@@ -279,6 +279,38 @@ def test_salvage_of_damaged_files():
     assert list(warc.salvage(b"")) == []
 
 
+def test_a_damaged_archive_loses_one_record(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"<p>{i} " + "x y z " * (i % 50)) for i in range(250)]
+    folder = f"file://{tmp_path}/warc"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, folder, records_per_file=100)
+    files = sorted((tmp_path / "warc").glob("part-*"))
+    assert len(files) == 3
+    whole = b"".join(gzip.decompress(f.read_bytes()) for f in files)
+    assert whole.count(b"WARC/1.1\r\n") == 250  # any gzip reader can read them
+    hurt = bytearray(files[1].read_bytes())
+    hurt[hurt.index(warc.EMPTY_MEMBER, len(hurt) // 2) + len(warc.EMPTY_MEMBER) + 100] ^= 0x55  # inside the next record
+    files[1].write_bytes(bytes(hurt))
+    for f in (tmp_path / "warc").glob(".*.crc"):
+        f.unlink()
+    found, log, gaps = warc.salvage_folder(spark, folder)
+    ids = {warc_id(r.record_id) for r in found.collect()}
+    assert len(ids) == 249 and ids < {i for i, *_ in rows}
+    gap = log.collect()
+    assert gaps == len(gap) >= 1 and sum(r.length for r in gap) > 0 and all(r.gap and r.path.endswith(files[1].name) for r in gap)
+
+
+def warc_id(text):
+    return int(text[10:-1])
+
+
+def test_very_long_page_in_an_archive(spark):
+    long = "<p>" + "word " * 2_000_000
+    pages = spark.createDataFrame([(1, "u", long), (2, "u", "a"), (3, "u", long), (None, "u", None)], "page_id long, url string, html string")
+    got = {r.page_id: tuple(r)[1:] for r in warc.archive_round_trip(spark, pages).collect()}
+    assert got[1][0] == got[3][0] == len(long) and got[3][2:] == ("revisit", 1) and got[1][2:] == ("response", None) and got[None][0] == 0
+
+
 # -- op9 ---------------------------------------------------------------------------
 def test_toxicity_held_out(spark):
     rnd = np.random.default_rng(8)

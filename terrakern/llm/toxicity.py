@@ -1,14 +1,16 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text, each counted once: its words, their prefixes of four and five
-letters (inflected forms share them), pairs of neighbouring words and pairs with
-one word between.  All are 64-bit hashes; FTRL's per-coordinate rates and L1
-threshold leave few of them a weight, and those weights are broadcast.
+Features of a text, each counted once: n-grams of one to NGRAM words, and pairs of
+words with up to SKIP words between.  All are 64-bit hashes; FTRL's per-coordinate
+rates and L1 threshold leave few of them a weight, and those weights are broadcast.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -16,29 +18,37 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrakern.llm.common import bounded_batches
 
-#: Labelled rows that a model is fitted on at most (those of least hash).
-MOST_LABELLED = 6_000
+#: Labelled rows that a model is fitted on at most (those of least hash), and bytes of their texts.
+MOST_LABELLED, MOST_LABELLED_BYTES = 6_000, 64 << 20
 #: Texts are scored in groups of this many characters.
 GROUP_CHARS = 4 << 20
-PREFIXES = (4, 5)
+NGRAM, SKIP = 2, 1
+#: Words count by so many letters from their start, so that inflected forms are one word.
+STEM = 4
 #: A feature in fewer texts of the sample gets no coordinate.
 LEAST_TEXTS = 3
 THRESHOLD = 0.3
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_KINDS = [np.uint64(k) for k in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F)]
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_KIND = np.uint64(0xA0761D6478BD642F)
 
 
 class Ftrl(NamedTuple):
-    """Rate, smoothing, L1, L2 and passes over the sample, chosen on a validation part of the rows one may learn from."""
+    """Rate, smoothing, L1, L2 and passes over the sample.
+
+    These and NGRAM, SKIP and STEM are chosen on rows one may learn from alone: fitted
+    on remainders 0 and 3, compared on remainder 1.
+    """
 
     alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 4.0
+    l1: float = 8.0
     l2: float = 0.05
-    passes: int = 5
+    passes: int = 4
 
 
 class Weights(NamedTuple):
@@ -50,48 +60,54 @@ class Weights(NamedTuple):
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * _KINDS[0]
+    h = (h ^ (h >> np.uint64(31))) * _KIND
     return h ^ (h >> np.uint64(29))
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _kind(n: int) -> np.uint64:
+    """An odd multiplier for each kind of feature."""
+    return np.uint64((0xE7037ED1A0B428DB * (2 * n + 1)) % (1 << 64) | 1)
+
+
+@cache
+def _wordy() -> np.ndarray:
+    """Whether each code point is a letter, a mark or a number."""
+    return np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(sys.maxunicode + 1)])
+
+
+def features(texts: list[str], ngram: int = NGRAM, skip: int = SKIP, stem: int = STEM) -> tuple[np.ndarray, np.ndarray]:
     """Place of the text and hash, for every feature occurrence of the texts.
 
-    Words are runs of ASCII letters, digits and all non-ASCII characters, in lower case.
+    Words are runs of letters, marks and numbers, in lower case.
     """
-    coded = [t.lower().encode() for t in texts]
-    data = np.frombuffer(b"\n".join(coded), np.uint8)
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) + 1
-    wordy = (data >= 128) | ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57))
-    change = np.flatnonzero(np.diff(np.concatenate(([False], wordy, [False])).astype(np.int8)))
+    joined = "\n".join(lowered := [t.lower() for t in texts])
+    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter(map(len, lowered), np.int64, len(texts)) + 1
+    change = np.flatnonzero(np.diff(np.concatenate(([False], _wordy()[code], [False])).astype(np.int8)))
     starts, stops = change[::2], change[1::2]
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    stops = np.minimum(stops, starts + stem)
     owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, np.concatenate(([0], np.cumsum(sizes))))))
-    length = stops - starts
-    # polynomial hash of each word and of its prefixes, byte by byte over all words at once
-    long_first = np.argsort(-length, kind="stable")
-    h = np.zeros(len(starts), np.uint64)
-    prefixes = {}
-    by_length = -length[long_first]
-    for k in range(int(length.max())):
-        active = long_first[: np.searchsorted(by_length, -k, "left")]
-        h[active] = (h[active] + data[starts[active] + k] + np.uint64(1)) * _MUL
-        if k + 1 in PREFIXES:
-            prefixes[k + 1] = (active, h[active].copy())
-    h = _mixed(h)
-    found = [(owner, h)]
-    for gap, kind in ((1, _KINDS[1]), (2, _KINDS[2])):
-        same = owner[gap:] == owner[:-gap] if len(owner) > gap else np.zeros(0, bool)
-        found.append((owner[:-gap][same], _mixed(h[:-gap][same] * kind + h[gap:][same])))
-    for (_, (active, prefix)), kind in zip(prefixes.items(), _KINDS[3:], strict=False):
-        found.append((owner[active], _mixed(prefix ^ kind)))
+    # hash of each word: sum of code * mul^place, moved back to place 0
+    powers = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(code), _MUL))))
+    back = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(int(starts[-1]), _BACK))))
+    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((code.astype(np.uint64) + np.uint64(1)) * powers[:-1])))
+    word = _mixed((prefix[stops] - prefix[starts]) * back[starts] + (stops - starts).astype(np.uint64))
+    found, gram = [(owner, word)], word
+    for n in range(2, ngram + 1):
+        whole = owner[n - 1 :] == owner[: len(owner) - n + 1]
+        gram = _mixed(gram[: len(owner) - n + 1] * _kind(n) + word[n - 1 :])
+        found.append((owner[: len(gram)][whole], gram[whole]))
+    for gap in range(2, skip + 2):
+        same = owner[gap:] == owner[:-gap]
+        found.append((owner[:-gap][same], _mixed(word[:-gap][same] * _kind(100 + gap) + word[gap:][same])))
     return np.concatenate([o for o, _ in found]), np.concatenate([x for _, x in found])
 
 
-def fit(texts: list[str], labels: np.ndarray, settings: Ftrl = Ftrl()) -> Weights:
+def fit(texts: list[str], labels: np.ndarray, settings: Ftrl = Ftrl(), ngram: int = NGRAM, skip: int = SKIP) -> Weights:
     """One coordinate per feature hash of the sample, updated text by text."""
-    owner, hashes = features(texts)
+    owner, hashes = features(texts, ngram, skip)
     keys, place = np.unique(hashes, return_inverse=True)
     pairs = np.unique(owner * max(len(keys), 1) + place)
     owner, place = pairs // max(len(keys), 1), pairs % max(len(keys), 1)
@@ -161,19 +177,27 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST_LABELLED) -> Weights:
-    """Fit on labelled rows that are not held out: all, or the ``most`` of least id hash.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST_LABELLED, most_bytes: int = MOST_LABELLED_BYTES) -> Weights:
+    """Fit on labelled rows that are not held out: all, or the ``most`` of least id hash whose texts have ``most_bytes`` together.
 
     The sample's ids (at most ``most``) are broadcast, one task fits, and only the
-    weights that L1 left come to the driver.  Null labels and ids are left out; no
-    labelled row gives a model without weights.
+    weights that L1 left come to the driver.  Null labels and ids are left out; of
+    several texts of one id the shortest counts, and an id labelled twice counts
+    twice; no labelled row gives a model without weights.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     order = F.xxhash64(F.lit(11), F.col(id_col).cast("string"))
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     sample = known.select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("label"), order.alias("order")).orderBy("order", "label").limit(most)
-    joined = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), F.col("id") == F.col("__id"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("hash"))
+    found = named.select("id", "bytes", "hash").join(F.broadcast(sample), F.col("id") == F.col("__id"))
+    found = found.groupBy("order", "label", "id").agg(F.min(F.struct("bytes", "hash")).alias("text_key"))  # at most ``most`` rows
+    upto = F.sum(F.col("text_key.bytes").cast("long")).over(Window.orderBy("order", "label", "id").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = found.withColumn("upto", upto).filter(F.col("upto") <= most_bytes).select("order", "label", F.col("id").alias("__id"), "text_key")
+    joined = named.join(F.broadcast(wanted), (F.col("id") == F.col("__id")) & (F.col("bytes") == F.col("text_key.bytes")) & (F.col("hash") == F.col("text_key.hash")))
+    joined = joined.groupBy("order", "label", "id").agg(F.min("text").alias("text"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["order", "label", "text"])

@@ -338,3 +338,49 @@ def test_toxicity_held_out(spark):
     assert np.array_equal(toxicity.train(docs, flipped).keys, model.keys)
     empty = toxicity.train(docs, marks.limit(0))
     assert len(empty.keys) == 0 and toxicity.score(docs.limit(0), empty).count() == 0
+
+
+def test_weights_equal_a_plain_ftrl():
+    rnd = np.random.default_rng(9)
+    texts = [" ".join(rnd.choice(["un", "deux", "trois", "Émile", "наука", "zeta5", "omega"], int(rnd.integers(0, 9)))) for _ in range(120)]
+    labels = rnd.integers(0, 2, 120).astype(float)
+    settings = toxicity.Ftrl(0.5, 1.0, 0.3, 0.1, 3)
+    grams = []
+    for text in texts:
+        w = [x[: toxicity.STEM] for x in text.lower().split()]
+        grams.append({(1, x) for x in w} | {(2, *p) for p in zip(w, w[1:])} | {(3, *p) for p in zip(w, w[2:])})
+    often = collections.Counter(g for x in grams for g in x)
+    grams = [sorted(g for g in x if often[g] >= toxicity.LEAST_TEXTS) for x in grams]
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    share = labels.mean()
+    base = np.log(share / (1 - share))
+
+    def weight(g):
+        l1 = 0.0 if g == "bias" else settings.l1
+        return 0.0 if abs(z[g]) <= l1 else -(z[g] - np.sign(z[g]) * l1) / ((settings.beta + np.sqrt(n[g])) / settings.alpha + settings.l2)
+
+    for _ in range(settings.passes):
+        for x, label in zip(grams, labels):
+            w = {g: weight(g) for g in [*x, "bias"]}
+            error = 1 / (1 + np.exp(-(base + sum(w.values())))) - label
+            for g in w:
+                sigma = (np.sqrt(n[g] + error**2) - np.sqrt(n[g])) / settings.alpha
+                z[g] += error - sigma * w[g]
+                n[g] += error**2
+    model = toxicity.fit(texts, labels, settings)
+    want = [weight(g) for g in often if often[g] >= toxicity.LEAST_TEXTS and weight(g)]
+    assert sorted(model.values) == pytest.approx(sorted(want)) and len(want) > 10
+    assert model.bias == pytest.approx(base + weight("bias"))
+
+
+def test_toxicity_of_long_and_repeated_rows(spark):
+    rows = [(i, "idiot talk" if i % 3 == 0 else "kind talk") for i in range(300)] + [(1, "kind talk")] * 50 + [(3, "idiot " * 400_000), (4, "x" * 3_000_000), (5, "—idiot—")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", __import__("pyspark").sql.functions.lit(1))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows)
+    assert max(r.score for r in got if r.doc_id % 3 and r.doc_id not in (4, 5)) < 0.3 < min(r.score for r in got if r.doc_id % 3 == 0)
+    assert sorted(r.predicted for r in got if r.doc_id == 5) == [0, 1]  # a dash is no letter
+    small = toxicity.train(docs, labels, most_bytes=200)
+    assert len(small.keys) <= len(model.keys)

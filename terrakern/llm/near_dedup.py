@@ -1,9 +1,9 @@
 """Near-duplicate classes: improved consistent weighted sampling over TF-IDF shingles.
 
-1. Every task adds the shingles of its documents to a count-min sketch of document
-   frequencies (two rows of COUNTERS counters, whatever the input's size).  Only
-   counters above a RARE-th of all documents matter for the weights, and there are at
-   most RARE times the mean number of shingles of a document of them.
+1. Document frequencies are counted exactly for every shingle in more than a RARE-th
+   of all documents; there are at most RARE times the mean number of shingles of a
+   document of them.  A count-min sketch of fixed size, which never counts too low,
+   first tells which shingles can be so frequent, and only those are shuffled.
 2. Each text gets BANDS x ROWS consistent weighted samples.  Equal word sequences
    become one node; nodes with an equal band are candidates.
 3. In every band bucket each node is compared with the bucket's smallest by weighted
@@ -11,9 +11,9 @@
 4. Buckets that still hold several classes are settled exactly: every node outside
    the bucket's largest class is compared with all nodes of other classes, in chunks.
 
-The IDF saturates: min(log(1 + N / df), log(1 + RARE)).  Rarity beyond one document
-in RARE says nothing about copying (all shingles of a copied text are as rare as the
-group of copies is small); shingles that more documents share lose weight.
+The weight of a shingle is tf * log(1 + min(N / df, RARE)) ** DAMPING.  The damping
+keeps what a large group of near copies shares, which is frequent, from being
+outweighed by the rare shingles in which its members differ.
 """
 
 from __future__ import annotations
@@ -30,10 +30,12 @@ from terrakern.llm.common import arrow_schema, bounded_batches, release_memory,
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.99996.
 BANDS, ROWS = 14, 3
-RARE = 4
+RARE, DAMPING = 1024, 0.25
 COUNTERS, SLICES = 1 << 20, 16
 #: Vectors that meet in one task at most, beside what they are compared with.
 CHUNK = 2000
+#: Narrow rows of a bucket that meet in one task.
+SPLIT = 256
 GROUP_CHARS = 1 << 18
 #: Shingle weights that are sampled at once.
 SAMPLED = 1 << 17
@@ -91,11 +93,12 @@ def counter_places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(COUNTERS)).astype(np.int64), ((h >> np.uint64(32)) * _K[2] >> np.uint64(44)).astype(np.int64) % COUNTERS
 
 
-def frequent(docs: DataFrame, text_col: str, count: int) -> list[dict[int, int]]:
-    """Counters above count / RARE in each row of the sketch of document frequencies.
+def frequent(docs: DataFrame, text_col: str, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and document frequencies of the shingles in more than count / RARE documents.
 
-    A row's counters add up to the number of shingles of all documents, so at most
-    RARE times the mean number per document come to the driver.
+    The sketch's counters over that (a bitmap of fixed size) come to the driver and go
+    to all tasks; then the shingles whose counters are all over it are counted
+    exactly.  At most RARE times the mean number of shingles per document are left.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,17 +124,30 @@ def frequent(docs: DataFrame, text_col: str, count: int) -> list[dict[int, int]]
         for batch in batches:
             for blob in batch.column("counts").to_pylist():
                 total += np.frombuffer(blob, np.uint16 if len(blob) == 2 * wide else np.int64)
-        part = key[0].as_py()
-        at = np.flatnonzero(total * RARE > count)
-        place = at + (part % SLICES) * wide
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part // SLICES), pa.int32()), pa.array(place, pa.int64()), pa.array(total[at], pa.int64())], ["row", "place", "n"])
-
-    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(add, "part int, counts binary")
-    found = sent.groupBy("part").applyInArrow(merge, "row int, place long, n long").collect()
-    out: list[dict[int, int]] = [{}, {}]
-    for r in found:
-        out[r["row"]][r["place"]] = r["n"]
-    return out
+        over = np.packbits(total * RARE > count).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([over], pa.binary())], ["part", "over"])
+
+    texts = docs.select(F.col(text_col).alias("text"))
+    sent = texts.mapInArrow(add, "part int, counts binary")
+    over = np.zeros((2 * SLICES, wide), bool)
+    for r in sent.groupBy("part").applyInArrow(merge, "part int, over binary").collect():
+        over[r["part"]] = np.unpackbits(np.frombuffer(r["over"], np.uint8), count=wide)
+    maps = docs.sparkSession.sparkContext.broadcast(np.packbits(over.reshape(2, COUNTERS), axis=1))
+
+    def count_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = [np.unpackbits(m, count=COUNTERS).astype(bool) for m in maps.value]
+        for batch in batches:
+            for texts in grouped(batch.column(0).to_pylist()):
+                _, h, _ = shingles(texts)
+                first, second = counter_places(h)
+                found, n = np.unique(h[bits[0][first] & bits[1][second]], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["hash", "n"])
+        release_memory()
+
+    counted = texts.mapInArrow(count_exactly, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") * RARE > count).toArrow()
+    hashes, n = counted.column("hash").to_numpy().view(np.uint64), counted.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
 
 
 def grouped(texts: list[str | None]) -> Iterator[list[str]]:
@@ -147,22 +163,19 @@ def grouped(texts: list[str | None]) -> Iterator[list[str]]:
 
 
 class Weigher:
-    """TF-IDF weights from the frequent counters."""
+    """TF-IDF weights from the frequencies of frequent shingles."""
 
-    def __init__(self, rows: list[dict[int, int]], count: int):
-        self.rows = [(np.array(sorted(r), np.int64), np.array([r[k] for k in sorted(r)], np.int64)) for r in rows]
+    def __init__(self, frequencies: tuple[np.ndarray, np.ndarray], count: int):
+        self.hashes, self.n = frequencies
         self.count = count
 
     def weights(self, h: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        df = np.full(len(h), np.iinfo(np.int64).max)
-        for (places, counts), at in zip(self.rows, counter_places(h), strict=True):
-            if not len(places):
-                df[:] = 0
-                break
-            near = np.minimum(np.searchsorted(places, at), len(places) - 1)
-            df = np.minimum(df, np.where(places[near] == at, counts[near], 0))
-        idf = np.log1p(np.minimum(self.count / np.maximum(df, self.count / RARE), RARE))
-        return (tf * idf).astype(np.float32)
+        share = np.full(len(h), float(RARE))
+        if len(self.hashes):
+            near = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            hit = np.flatnonzero(self.hashes[near] == h)
+            share[hit] = np.minimum(self.count / self.n[near[hit]], RARE)
+        return (tf * np.log1p(share) ** DAMPING).astype(np.float32)
 
 
 def _uniform(bits: np.ndarray) -> np.ndarray:
@@ -318,8 +331,7 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     bounded_batches(spark)
     count = docs.count()
-    counters = frequent(docs, text_col, count)
-    sent = spark.sparkContext.broadcast((counters, count))
+    sent = spark.sparkContext.broadcast((frequent(docs, text_col, count), count))
     rows = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +357,7 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
     posted = nodes.select("node", F.explode("bands").alias("key")).filter(F.col("key") != 0)
     shared = posted.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("members")).filter(F.col("n") > 1)
     shared = stage(shared.groupBy("leader", "n", "members").agg(F.min("key").alias("key")), "near-buckets")  # one of buckets with the same nodes
-    members = stage(posted.join(shared.select("key", "leader"), "key").select("key", "leader", "node"), "near-members")
+    members = stage(posted.join(shared.select("key", "leader", "n"), "key").select("key", "leader", "node", F.ceil(F.col("n") / SPLIT).alias("parts")), "near-members")
     vectors = stage(_vectors(rows, members.select("node").distinct(), sent), "near-vectors")
 
     pairs = members.filter(F.col("leader") != F.col("node")).select("leader", F.col("node").alias("member")).distinct()
@@ -358,11 +370,12 @@ def classes(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col:
     star = stage(left.groupBy("leader", "chunk").cogroup(right.groupBy("of", "part")).applyInArrow(releasing(_verify_star), "a long, b long"), "near-links")
     found = components(star)
 
-    classed = members.join(found, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
-    per_class = classed.groupBy("key", "class").agg(F.count("*").alias("n"))
-    open_ = per_class.groupBy("key").agg(F.sum("n").alias("size"), F.count("*").alias("classes"), F.max(F.struct("n", "class")).alias("largest")).filter(F.col("classes") > 1)
-    open_ = open_.select("key", F.ceil(F.col("size") / CHUNK).alias("chunks"), F.col("largest.class").alias("major"))
-    rest = classed.join(open_, "key").join(vectors, "node")
+    # a bucket is cut into parts, so that its rows never meet in one task
+    classed = members.join(found, "node", "left").select("key", "parts", F.pmod(F.xxhash64("node"), "parts").alias("piece"), "node", F.coalesce("class", "node").alias("class"))
+    per_class = classed.groupBy("key", "parts", "class").agg(F.count("*").alias("n"))
+    open_ = per_class.groupBy("key", "parts").agg(F.sum("n").alias("size"), F.count("*").alias("classes"), F.max(F.struct("n", "class")).alias("largest")).filter(F.col("classes") > 1)
+    open_ = open_.select("key", F.ceil(F.col("size") / CHUNK).alias("chunks"), F.col("largest.class").alias("major"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("piece"))
+    rest = classed.join(open_, ["key", "piece"]).join(vectors, "node")
     bases = rest.select(F.col("key").alias("of"), chunk(F.col("node")).alias("part"), F.col("node").alias("node"), F.col("class").alias("class"), F.col("vector").alias("vector"))
     probes = rest.filter(F.col("class") != F.col("major")).select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "node", "class", "vector")
     late = stage(probes.groupBy("key", "chunk").cogroup(bases.groupBy("of", "part")).applyInArrow(releasing(_verify_rest), "a long, b long"), "near-links")

@@ -17,7 +17,8 @@ def brute(rows):
         c = collections.Counter(w[i : i + 5] for i in range(len(w) - 4)) if len(w) >= 5 else collections.Counter([w] if w else [])
         vectors.append(c)
         df.update(c.keys())
-    idf = {k: math.log1p(min(n / max(v, n / near_dedup.RARE), near_dedup.RARE)) for k, v in df.items()}
+    idf = {k: math.log1p(min(n / v, near_dedup.RARE)) ** near_dedup.DAMPING for k, v in df.items()}
+    assert len({round(x, 6) for x in idf.values()}) > 10  # weights differ
     parent = list(range(n))
 
     def root(x):
@@ -60,6 +61,16 @@ def test_equals_brute_force(spark, monkeypatch):
     assert dict(near_dedup.classes(docs, ["doc_id"]).collect()) == want
 
 
+def test_frequencies_are_exact(spark, monkeypatch):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    df = collections.Counter(h for _, t in rows for h in near_dedup.shingles([t or ""])[1].tolist())
+    for rare in (near_dedup.RARE, 20):
+        monkeypatch.setattr(near_dedup, "RARE", rare)
+        hashes, n = near_dedup.frequent(docs, "text", len(rows))
+        assert dict(zip(hashes.tolist(), n.tolist())) == {h: v for h, v in df.items() if v * rare > len(rows)}
+
+
 def test_samples_estimate_weighted_similarity():
     rnd = np.random.default_rng(1)
     keys = rnd.integers(1, 1 << 62, 400).astype(np.uint64)

@@ -219,7 +219,7 @@ def test_fits_are_of_least_determinant(spark):
     def step(x, m, c):
         d = np.floor(np.minimum(np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m) * quality_rules.DIGITS, 1 << 16))
         core = x[d <= np.ceil(np.percentile(d, 100 * quality_rules.CORE))]
-        return core.mean(0), quality_rules.CONSISTENCY * np.cov(core.T, bias=True) + np.diag(floor**2)
+        return core.mean(0), quality_rules.consistency(quality_rules.CORE) * np.cov(core.T, bias=True) + np.diag(floor**2)
 
     def ended(x, m, c):
         least = np.inf
@@ -238,6 +238,24 @@ def test_fits_are_of_least_determinant(spark):
         assert found <= ended(x, m, np.diag(spread**2)) + 1e-3 and found <= ended(x, x.mean(0), np.cov(x.T, bias=True) + np.diag(floor**2)) + 1e-6
 
 
+def test_cutoff_and_consistency():
+    x = np.random.default_rng(20).normal(size=(400_000, 4))
+    d = np.sort((x * x).sum(axis=1))
+    for share in (0.75, 0.975):
+        assert quality_rules.chi_square_beyond(1 - share, 4) == pytest.approx(d[int(share * len(d))], rel=0.01)
+        core = x[(x * x).sum(axis=1) <= quality_rules.chi_square_beyond(1 - share, 4)]
+        assert quality_rules.consistency(share) * np.cov(core.T)[0, 0] == pytest.approx(1, rel=0.01)
+    assert quality_rules.chi_square_tail(quality_rules.CUTOFF, 4) == pytest.approx(1 / quality_rules.ONE_IN, rel=1e-6)
+
+
+def test_quality_of_a_very_long_text(spark):
+    long = " ".join(f"w{i}" for i in range(300_000))
+    rows = [(i, "some plain words of a short text that says little " + str(i), "en", "s") for i in range(50)] + [(99, long, "en", "s"), (100, "x" * 3_000_000, None, None)]
+    got = {r.doc_id: r for r in quality_rules.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id"]).collect()}
+    assert (got[99].n_words, got[99].n_repeat_words, got[99].base_failed) == (300_000, 0, False)
+    assert (got[100].n_words, got[100].word_chars, got[100].kept) == (1, 3_000_000, False)
+
+
 # -- op8 ---------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     import hashlib

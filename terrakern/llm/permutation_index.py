@@ -3,7 +3,8 @@
 Each vector is represented by the order of its PREFIX nearest pivots and posted,
 with the pivot's rank, in those pivots' inverted files.  A query walks the files of
 its own nearest pivots, which gives every candidate's footrule distance; the
-nearest BUDGET of a shard are reranked by exact inner product.
+nearest are reranked by exact inner product, a number that grows more slowly than
+the table.
 
 Vectors are lifted by one coordinate to a common length (x / M, sqrt(1 - |x/M|^2)),
 so that nearness of directions is nearness by inner product.
@@ -22,8 +23,8 @@ from pyspark.sql.window import Window
 
 #: Pivots are drawn from a bounded sample (the DRAWN vectors of least id hash); how many of them order a vector.
 DRAWN, PIVOTS, PREFIX = 2048, 256, 64
-#: Share of a shard's distinct vectors that is reranked, and the least number.
-BUDGET, LEAST_BUDGET = 0.2, 500
+#: Of n vectors, RERANKED * n ** POWER are reranked for a query, dealt over the shards by their sizes.
+RERANKED, POWER = 1.67, 0.75
 #: Rows of a shard grow with the table so that there are about MOST_SHARDS, within these bounds.
 SHARD_ROWS, MOST_SHARD_ROWS, MOST_SHARDS = 4096, 1 << 17, 64
 QUERY_BLOCK = 1024
@@ -83,18 +84,18 @@ def footrule(index: Index, order: np.ndarray, prefix: int) -> np.ndarray:
     return prefix * (prefix + 1) - gain
 
 
-def search(index: Index, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarray, longest: float, k: int, prefix: int = PREFIX) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its ``k`` best found: (query id, ids, scores), nearest first, ties to the smaller id."""
+def search(index: Index, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarray, longest: float, k: int, share: float, prefix: int = PREFIX) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query its ``k`` best found: (query id, ids, scores), nearest first, ties to the smaller id.
+
+    The ``share`` of entries that is nearest by footrule is reranked, at least ``k`` + 1.
+    """
     count = len(index.vectors)
-    budget = min(count, max(LEAST_BUDGET, int(np.ceil(BUDGET * count))))
+    budget = min(count, max(k + 1, int(np.ceil(share * count))))
     # a query is compared by direction alone, so its own length doesn't matter
     unit = queries / np.sqrt((queries * queries).sum(axis=1))[:, None]
     near = orders(np.concatenate((unit, np.zeros((len(unit), 1))), axis=1), pivots, prefix)
     for q, own, order in zip(queries, query_ids.tolist(), near, strict=True):
-        if budget < count:
-            found = np.argpartition(footrule(index, order, prefix), budget - 1)[:budget]
-        else:
-            found = np.arange(count)
+        found = np.argpartition(footrule(index, order, prefix), budget - 1)[:budget]
         rough = index.vectors[found] @ q
         if len(found) > k + 1:
             edge = np.partition(rough, -(k + 1))[-(k + 1)]
@@ -119,21 +120,22 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     """Return ``query_id, rank, id_col, score``: the ``k`` best of each row whose id is divisible by ``every``.
 
     Candidates are all rows but those with the query's id; equal scores go to the
-    smaller id.  Rows with a null id, a vector that is null, zero or has a null or
-    non-finite component, or of another length than most, take no part; rows with
+    smaller id.  Vectors shorter than the longest count as if zeros followed.  Rows with
+    a null id or a vector that is null, zero or has a null or non-finite component take no part; rows with
     one id and one vector count once.  An empty table gives an empty result; other
     columns are not read.  Every row is indexed: each block of queries meets each
     shard once, and only ``k`` results of a query and shard are shuffled again.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
-    sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("longest"), F.count_if(F.col("id") % every == 0).alias("queries"))
-    most = sizes.agg(F.max(F.struct("n", "size", "longest", "queries")).alias("m")).first()["m"]
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    most = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("size"), F.max(length).alias("longest"), F.count_if(F.col("id") % every == 0).alias("queries")).first()
     out = "query_id long, id long, score double"
-    if most is None or not most["queries"]:
+    if not most["queries"]:
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
     count, longest = most["n"], most["longest"]
-    rows = rows.filter(F.size("v") == most["size"])
+    rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(most["size"]) - F.size("v"))))
+    share = min(1.0, RERANKED * count ** (POWER - 1))
     drawn = rows.orderBy(F.xxhash64(F.lit(3), F.col("id")), "id", "v").limit(DRAWN).select("v").collect()
     pivots = spread(lifted(np.unique(np.array([r["v"] for r in drawn], float), axis=0), longest), PIVOTS)
     prefix = min(PREFIX, len(pivots))
@@ -147,7 +149,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         if not entries.num_rows or not queries.num_rows:
             return pa.schema(list(names.items())).empty_table()
         index = build(entries.column("id").to_numpy(), _matrix(entries), pivots, longest, k + 1, prefix)
-        found = list(search(index, _matrix(queries), queries.column("id").to_numpy(), pivots, longest, k, prefix))
+        found = list(search(index, _matrix(queries), queries.column("id").to_numpy(), pivots, longest, k, share, prefix))
         columns = [np.repeat([q for q, _, _ in found], [len(i) for _, i, _ in found]), np.concatenate([i for _, i, _ in found]), np.concatenate([s for _, _, s in found])]
         return pa.table({n: pa.array(c, t) for (n, t), c in zip(names.items(), columns, strict=True)})
 

@@ -25,9 +25,10 @@ def canonical_zone(zone: Column) -> Column:
 
 
 def baseline_number(text: Column) -> Column:
-    """'05.1' is 510, '04.00' is 400; null unless two digits, a point and one or two digits."""
-    ok = text.rlike(r"^[0-9]{2}\.[0-9]{1,2}$")
-    return F.when(ok, F.substring(text, 1, 2).try_cast("int") * 100 + F.rpad(F.substring(text, 4, 2), 2, "0").try_cast("int"))
+    """'05.1' and '5.10' are 510, '4' is 400; null unless one or two digits, then perhaps a point and one or two more."""
+    form = r"^\s*([0-9]{1,2})(?:\.([0-9]{1,2}))?\s*$"
+    part = lambda k: F.regexp_extract(text, form, k)
+    return F.when(text.rlike(form), part(1).try_cast("int") * 100 + F.rpad(part(2), 2, "0").try_cast("int"))
 
 
 def burst(title: Column) -> Column:

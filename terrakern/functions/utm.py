@@ -57,3 +57,14 @@ def projected(lon: Column, lat: Column, zone: Column) -> Column:
         return pd.DataFrame({"easting": east, "northing": north})
 
     return run(lon.cast("double"), lat.cast("double"), zone.cast("double"))
+
+
+def row_latitude(northing: Column, southern: Column) -> Column:
+    """Latitude of a northing on the zone's central meridian."""
+    xi = (northing - F.when(southern, SOUTH).otherwise(0.0)) / (SCALE * _A)
+    chi = xi - sum((b * F.sin(2 * k * xi) for k, b in enumerate(_BETA, 1)), F.lit(0.0))
+    return F.degrees(chi + sum((d * F.sin(2 * k * chi) for k, d in enumerate(_DELTA, 1)), F.lit(0.0)))
+
+
+#: The same as SQL, with {n} for the northing less its false origin.
+ROW_LATITUDE_SQL = "(SELECT degrees(chi" + "".join(f" + {d!r} * sin({2 * k} * chi)" for k, d in enumerate(_DELTA, 1)) + ") FROM (SELECT xi" + "".join(f" - {b!r} * sin({2 * k} * xi)" for k, b in enumerate(_BETA, 1)) + f" AS chi FROM (SELECT ({{n}}) / {SCALE * _A!r} AS xi)))"

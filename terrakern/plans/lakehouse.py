@@ -10,6 +10,7 @@ from terrakern.functions import calendar as C
 from terrakern.functions import geo as G
 from terrakern.functions import pixel as P
 from terrakern.functions import text as T
+from terrakern.functions import utm
 from terrakern.operators import catalogue, registry, telemetry
 from terrakern.sources.tables import events, read
 
@@ -72,9 +73,10 @@ def plan_json_roundtrip(spark, d):
     return plan.select("n_regionkey", F.explode(F.from_json("plan", "tiles array<int>")["tiles"]).alias("n_nationkey"))
 
 
-@query("SELECT c_custkey, round(degrees(atan(sinh((c_custkey*1000.0)/6378137.0))), 9) AS latitude FROM customer")
+@query("SELECT c_custkey, round(" + utm.ROW_LATITUDE_SQL.format(n="CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 1000.0 ELSE c_custkey * 1000.0 - 10000000.0 END") + ", 9) AS latitude FROM customer")
 def row_latitude(spark, d):
-    return read(spark, d, "customer").select("c_custkey", F.round(F.degrees(F.atan(F.sinh(F.col("c_custkey") * 1000.0 / 6378137.0))), 9).alias("latitude"))
+    n = F.col("c_custkey") * 1000.0
+    return read(spark, d, "customer").select("c_custkey", F.round(utm.row_latitude(n, F.col("c_custkey") % 2 != 0), 9).alias("latitude"))
 
 
 # -- filters -------------------------------------------------------------------------

@@ -1,79 +1,52 @@
-"""Catalogue search as a Python data source: exact, gap-free time windows become partitions.
+"""Catalogue search over JSON-line items: pushed filters, exact time windows, and a budget that refuses.
 
-``spark.dataSource.register(CatalogueSource)`` and then
-``spark.read.format("catalogue").option("path", folder).option("start", ...)``.
-The items are JSON lines in ``folder``; a live service would replace :func:`fetch`.
+Items lie on any file system of Spark's; a live service would land its pages there.
 """
 
 from __future__ import annotations
 
-import datetime
-import glob
-import json
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+SCHEMA = "id string, acquired_at timestamp, bbox array<double>, properties map<string,string>, assets map<string,string>"
+#: A window may hold at most a page of items, and a search may need at most so many windows.
+PAGE, MOST_WINDOWS = 500, 4096
 
-SCHEMA = "id string, acquired_at timestamp, west double, south double, east double, north double, properties map<string,string>, assets map<string,string>"
-#: A window is split at most so often, and no window may give more items than a page holds.
-MOST_SPLITS, PAGE = 20, 500
 
+class SearchBudgetError(ValueError):
+    """The search cannot be cut into few enough windows of a page each."""
 
-def split_window(start: datetime.datetime, end: datetime.datetime, parts: int) -> list[tuple[datetime.datetime, datetime.datetime]]:
-    """[start, end) as ``parts`` windows whose union is the input, without gap or overlap; [] if a day or less."""
-    days = (end - start).days
-    parts = min(parts, days)
-    if parts < 2:
-        return []
-    edges = [start + datetime.timedelta(days=days * k // parts) for k in range(parts)] + [end]
-    return list(zip(edges[:-1], edges[1:], strict=True))
 
+def overlapping(bbox: Column, west: float, south: float, east: float, north: float) -> Column:
+    """Whether [west, south, east, north] of an item meets the box; an item with west > east crosses the antimeridian."""
+    unwrapped = F.when(bbox[2] < bbox[0], bbox[2] + 360).otherwise(bbox[2])
+    meets = lambda turn: (bbox[0] - turn <= east) & (unwrapped - turn >= west)
+    return (meets(0) | meets(360)) & (bbox[1] <= north) & (bbox[3] >= south)
 
-def fetch(folder: str, start: datetime.datetime, end: datetime.datetime) -> Iterator[dict]:
-    """Items of [start, end)."""
-    for name in sorted(glob.glob(f"{folder}/*.json*")):
-        with open(name, encoding="utf-8") as lines:
-            for line in lines:
-                item = json.loads(line)
-                if start <= datetime.datetime.fromisoformat(item["acquired_at"]) < end:
-                    yield item
 
+def search(spark: SparkSession, path: str, start: str, end: str, bbox: tuple[float, float, float, float] | None = None, properties: dict[str, str] | None = None, assets: list[str] | None = None) -> DataFrame:
+    """Items acquired in [start, end) that meet the box and have the properties, with only the wanted assets."""
+    items = spark.read.schema(SCHEMA).json(path).filter((F.col("acquired_at") >= F.lit(start).cast("timestamp")) & (F.col("acquired_at") < F.lit(end).cast("timestamp")))
+    for key, value in (properties or {}).items():
+        items = items.filter(F.col("properties")[key] == value)
+    if bbox:
+        items = items.filter(overlapping(F.col("bbox"), *bbox))
+    if assets is not None:
+        items = items.withColumn("assets", F.map_filter("assets", lambda k, _: k.isin(*assets)))
+    return items
 
-class Window(InputPartition):
-    def __init__(self, start: datetime.datetime, end: datetime.datetime):
-        self.start, self.end = start, end
 
+def windowed(items: DataFrame, page: int = PAGE, most: int = MOST_WINDOWS) -> DataFrame:
+    """Add ``window``: consecutive days whose items fit a page, without gap or overlap.
 
-class CatalogueReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.folder, self.page = options["path"], int(options.get("page", PAGE))
-        self.start, self.end = (datetime.datetime.fromisoformat(options[k]) for k in ("start", "end"))
-
-    def partitions(self) -> list[InputPartition]:
-        """Halve windows that hold more than a page, within the budget of splits."""
-        todo, out, left = [(self.start, self.end)], [], MOST_SPLITS
-        while todo:
-            window = todo.pop()
-            parts = split_window(*window, 2) if left and sum(1 for _ in fetch(self.folder, *window)) > self.page else []
-            if parts:
-                left -= 1
-                todo += parts
-            else:
-                out.append(window)
-        return [Window(*w) for w in sorted(out)]
-
-    def read(self, partition: Window) -> Iterator[tuple]:
-        for x in fetch(self.folder, partition.start, partition.end):
-            yield (x["id"], datetime.datetime.fromisoformat(x["acquired_at"]), *x["bbox"], x.get("properties", {}), x.get("assets", {}))
-
-
-class CatalogueSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "catalogue"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return CatalogueReader(self.options)
+    Days are dealt by the items before them, in half pages, so no window exceeds a page unless one day has more than
+    half of one; a window over a page, or more than ``most`` windows, is refused.  Only counts per day are gathered.
+    """
+    days = items.groupBy(F.to_date("acquired_at").alias("day")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    dealt = days.withColumn("window", F.floor(before * 2 / page))
+    sizes = dealt.groupBy("window").agg(F.sum("n").alias("n")).agg(F.max("n").alias("largest"), F.count("*").alias("windows")).first()
+    if (sizes["largest"] or 0) > page or sizes["windows"] > most:
+        raise SearchBudgetError(f"{sizes['windows']} windows of up to {sizes['largest']} items; allowed are {most} of {page}")
+    return items.withColumn("day", F.to_date("acquired_at")).join(dealt.select("day", "window"), "day").drop("day")

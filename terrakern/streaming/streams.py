@@ -44,22 +44,36 @@ def sustained_alerts(stream: DataFrame, by: str, value: str, order: str, at_leas
     return stream.groupBy(by).applyInPandasWithState(update, out, "tail array<double>", "append", "NoTimeout")
 
 
-def guarded_append(stream: DataFrame, day: str, target: str, rejected: str, checkpoint: str) -> StreamingQuery:
-    """Append each batch's days that are newer than all stored; the rest goes to ``rejected`` and is not lost.
+def guarded_append(stream: DataFrame, day: str, target: str, rejected: str, checkpoint: str, key: list[str] | None = None) -> StreamingQuery:
+    """Append each batch's days that are newer than all stored; the rest, null days too, goes to ``rejected`` and is not lost.
 
-    A batch writes into folders of its own number, so a replayed batch overwrites itself.
+    Of rows with one ``key`` in a batch, one is appended.  A batch writes into folders of its own number, so a replayed
+    batch overwrites itself.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        newest = _newest(spark, target, day, number)
-        fresh = F.lit(True) if newest is None else F.col(day) > F.lit(newest)
-        batch.filter(fresh).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        newest = _newest(batch.sparkSession, target, day, number)
+        fresh = F.col(day).isNotNull() if newest is None else F.coalesce(F.col(day) > F.lit(newest), F.lit(False))
+        appended = batch.filter(fresh)
+        (appended.dropDuplicates(key) if key else appended).write.mode("overwrite").parquet(f"{target}/batch={number}")
         batch.filter(~fresh).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def latest_bins(stream: DataFrame, ts: str, width: str, delay: str, by: list[str], folder: str) -> DataFrame:
+    """Tumbling counts with the open bins too: every batch writes the bins it changed, the newest count of a bin holds."""
+    changed = binned(stream, ts, width, delay, by)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/bins/batch={number}")
+
+    query = changed.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/bins-state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = changed.sparkSession.read.schema(changed.schema.simpleString()[7:-1].replace(":", " ") + ", batch int").parquet(f"{folder}/bins")
+    return found.groupBy("bin", *by).agg(F.max_by("n", "batch").alias("n"))
+
+
 def _newest(spark: SparkSession, target: str, day: str, number: int):
     try:
         return spark.read.parquet(target).filter(F.col("batch") < number).agg(F.max(day)).first()[0]

@@ -70,10 +70,10 @@ def test_calendar(spark):
 def test_text(spark):
     r = one(
         spark,
-        a=text.baseline_number(F.lit("05.1")), b=text.baseline_number(F.lit("5")), c=text.canonical_zone(F.lit(" 7n ")), d=text.canonical_zone(F.lit("61N")),
+        a=text.baseline_number(F.lit("05.1")), b=F.array(*[text.baseline_number(F.lit(x)) for x in (" 5.1 ", "4", "05.10", "N05", "5.123")]), c=text.canonical_zone(F.lit(" 7n ")), d=text.canonical_zone(F.lit("61N")),
         e=text.bucket(F.lit("https://b.s3.us-west-2.amazonaws.com/k")), f=text.error_class(F.lit("Slow Down")), g=text.parsed_tile(F.lit("chunk_01_02"))[1],
     )
-    assert tuple(r) == (510, None, "07N", None, "b", "transient", 2)
+    assert tuple(r) == (510, [510, 400, 510, None, None], "07N", None, "b", "transient", 2)
 
 
 def test_geo(spark):

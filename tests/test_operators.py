@@ -1,12 +1,15 @@
+import collections
 import datetime
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrakern.operators import batching, catalogue, joins, pixels, registry, telemetry
-from terrakern.sources.catalogue import CatalogueSource, split_window
-from terrakern.sources.store import NonMonotonicDateError, PixelStore
+from terrakern.operators import batching, catalogue, joins, pixels, records, registry, telemetry
+from terrakern.sources import catalogue as catalogue_source
+from terrakern.sources.store import CommitConflictError, DuplicateDateError, NonMonotonicDateError, PixelStore
+from terrakern.streaming import streams
 
 
 def test_ladder_and_step_down(spark):
@@ -54,16 +57,49 @@ def test_as_of_and_cells(spark):
     assert {(r.b, r.p) for r in got.collect()} == {(1, 7), (1, 9)}
 
 
-def test_batching():
-    def cost(spans, groups):
-        return sum(200 + (max(s[1] for s in spans[a : b + 1]) - min(s[0] for s in spans[a : b + 1]) + 1) * sum(s[2] for s in spans[a : b + 1]) for a, b in groups)
-
-    spans = [(0, 9, 2), (1, 8, 2), (50, 90, 1), (52, 80, 3), (0, 3, 1)]
-    best = min((cost(spans, g), g) for g in _groupings(len(spans)))[0]
-    assert cost(spans, batching.merged_bands(spans, 200, 10**9)) == best
-    assert all(a == b for a, b in batching.merged_bands(spans, 0, 1))
-    assert batching.budgeted([3, 0, 3, 9, 0, 1], 6, 9) == [0, 0, 0, 1, 1, 2]
-    assert batching.lightest_first([1, 5, 3, 3], 2) == [1, 0, 1, 1] or sum(batching.lightest_first([1, 5, 3, 3], 2)) in (2, 3)
+def test_band_windows_are_of_least_cost():
+    rnd = np.random.default_rng(1)
+    for _ in range(60):
+        n = int(rnd.integers(1, 8))
+        west, top = rnd.integers(0, 30, n), np.cumsum(rnd.integers(1, 6, n))
+        boxes = np.stack((west, west + rnd.integers(0, 20, n), top, top + rnd.integers(0, 2, n)), axis=1)
+        cost, cap = float(rnd.choice([5, 20, 200])), float(rnd.choice([30, 120, 10**6]))
+
+        def total(groups):
+            out = 0.0
+            for first, last in groups:
+                part = boxes[first : last + 1]
+                area = (part[:, 1].max() - part[:, 0].min() + 1) * (part[:, 3].max() - part[:, 2].min() + 1)
+                if last > first and area > cap:
+                    return np.inf
+                out += cost + area
+            return out
+
+        found = batching.band_windows(boxes, cost, cap)
+        runs = [(int(np.flatnonzero(found == w)[0]), int(np.flatnonzero(found == w)[-1])) for w in range(found[-1] + 1)]
+        assert total(runs) == min(total(g) for g in _groupings(n)) and list(found) == sorted(found)
+    assert len(batching.band_windows([])) == 0
+
+
+def test_budget_batches(spark):
+    def plain(weights, budget, slots):
+        batches, used, taken = [[]], 0.0, 0
+        for w in weights:
+            if w and batches[-1] and (taken + 1 > slots or used + w > budget):
+                batches.append([])
+                used, taken = 0.0, 0
+            batches[-1].append(w)
+            used, taken = used + w, taken + bool(w)
+        return [k for k, b in enumerate(batches) for _ in b]
+
+    rnd = np.random.default_rng(2)
+    groups = {g: rnd.choice([0, 1, 2, 3, 9], int(rnd.integers(1, 12))).astype(float).tolist() for g in range(40)}
+    rows = spark.createDataFrame([(g, i, w) for g, ws in groups.items() for i, w in enumerate(ws)], "g int, i int, w double")
+    got = {g: [] for g in groups}
+    for r in batching.batched(rows, ["g"], ["i"], "w", 6.0, 3).orderBy("g", "i").collect():
+        got[r.g].append(r.batch)
+    assert got == {g: plain(ws, 6.0, 3) for g, ws in groups.items()}
+    assert sum(batching.lightest_first([1, 5, 3, 3], 2)) in (2, 3)
 
 
 def _groupings(n):
@@ -90,15 +126,58 @@ def test_store(spark, tmp_path):
         store.tag("v1", first)
 
 
-def test_catalogue_source(spark, tmp_path):
+def test_two_writers_from_one_version(spark, tmp_path):
+    schema = "zone string, year int, tile string, px int"
+    store = PixelStore(spark, str(tmp_path / "s"), schema).create()
+    rows = spark.createDataFrame([("30N", 2024, "a", 1)], schema)
+    store.append_day(rows, datetime.date(2024, 1, 1), "r1")
+    version = store.version()
+    store.commit(rows.withColumn("tile", F.lit("b")), "fill", "r2", expected=version)
+    with pytest.raises(CommitConflictError):
+        store.commit(rows.withColumn("tile", F.lit("c")), "fill", "r3", expected=version)
+    with pytest.raises(DuplicateDateError):
+        store.append_day(rows, datetime.date(2024, 1, 1), "r4")
+    assert {r.tile for r in store.read().collect()} == {"a", "b"}
+
+
+def test_catalogue_search(spark, tmp_path):
     start = datetime.datetime(2024, 1, 1)
     with open(tmp_path / "items.jsonl", "w") as f:
         for k in range(100):
-            f.write(json.dumps({"id": f"i{k}", "acquired_at": (start + datetime.timedelta(hours=7 * k)).isoformat(), "bbox": [0, 0, 1, 1], "assets": {"red": "s3://b/r"}}) + "\n")
-    spark.dataSource.register(CatalogueSource)
-    found = spark.read.format("catalogue").option("path", str(tmp_path)).option("start", "2024-01-01").option("end", "2024-01-15").option("page", "10").load()
-    assert found.rdd.getNumPartitions() > 2
-    assert {r.id for r in found.collect()} == {f"i{k}" for k in range(48)}
-    assert split_window(start, start + datetime.timedelta(days=1), 4) == []
-    parts = split_window(start, start + datetime.timedelta(days=10), 3)
-    assert parts[0][0] == start and all(a[1] == b[0] for a, b in zip(parts, parts[1:], strict=False))
+            box = [179.0, 0, -179.0, 1] if k % 2 else [0, 0, 1, 1]
+            f.write(json.dumps({"id": f"i{k}", "acquired_at": (start + datetime.timedelta(hours=7 * k)).isoformat(), "bbox": box, "assets": {"red": "s3://b/r", "nir": "x"}}) + "\n")
+    found = catalogue_source.search(spark, str(tmp_path), "2024-01-01", "2024-01-15", assets=["red"])
+    dealt = catalogue_source.windowed(found, page=10).collect()
+    assert {r.id for r in dealt} == {f"i{k}" for k in range(48)} and all(set(r.assets) == {"red"} for r in dealt)
+    sizes = collections.Counter(r.window for r in dealt)
+    assert max(sizes.values()) <= 10 and len(sizes) > 3
+    assert {r.id for r in catalogue_source.search(spark, str(tmp_path), "2024-01-01", "2024-01-15", bbox=(-180, 0, -179.5, 1)).collect()} == {f"i{k}" for k in range(1, 48, 2)}
+    for page, most in ((2, 99), (10, 2)):
+        with pytest.raises(catalogue_source.SearchBudgetError):
+            catalogue_source.windowed(found, page, most)
+
+
+def test_guarded_append_loses_nothing(spark, tmp_path):
+    day = datetime.date
+    folder = tmp_path / "in"
+    schema = "id int, day date"
+    spark.createDataFrame([(1, day(2024, 1, 2))], schema).coalesce(1).write.parquet(str(folder / "a"))
+    run = lambda: streams.guarded_append(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(folder)), "day", str(tmp_path / "t"), str(tmp_path / "r"), str(tmp_path / "c"), ["id"]).awaitTermination()
+    run()
+    spark.createDataFrame([(2, day(2024, 1, 1)), (3, day(2024, 1, 3)), (3, day(2024, 1, 3)), (4, None)], schema).coalesce(1).write.parquet(str(folder / "b"))
+    run()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 3]
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "r")).collect()) == [2, 4]
+
+
+def test_records(spark):
+    rows = spark.createDataFrame([(1, None, None), (2, "x", 5)], "run_id int, filled_at string, chunk_px int").withColumn("assembled_at", F.lit("now"))
+    assert {tuple(r) for r in records.as_master_rows(rows, "fill", F.col("chunk_px").isNotNull()).select("run_id", "filled_at", "measured_by").collect()} == {(1, "now", None), (2, "x", "fill")}
+    with pytest.raises(Exception, match="must carry filled_at"):
+        records.as_master_rows(rows, "rebuild", F.col("chunk_px").isNotNull()).collect()
+    plane = spark.createDataFrame([("a", 3), ("a", -1), ("a", 0), ("b", 0)], "t string, k int")
+    assert [tuple(r) for r in records.source_positions(plane, ["t"], "k").collect()] == [("a", [0, 2], 1)]
+    with pytest.raises(Exception, match="beyond 16 bits"):
+        records.source_positions(plane.withColumn("k", F.lit(40000)), ["t"], "k").collect()
+    blocks = spark.createDataFrame([("a", 1, True), ("b", 0, False), ("c", None, True), ("c", 0, False)], "z string, hits int, failed boolean")
+    assert {tuple(r) for r in records.probe_verdict(blocks, ["z"], F.col("hits"), F.col("failed")).collect()} == {("a", "present"), ("b", "absent"), ("c", "unknown")}

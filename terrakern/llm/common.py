@@ -26,10 +26,12 @@ BATCH_BYTES = 16 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary one is used.
+    Only where the session names none and runs in local mode (tests) a temporary one is used.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="terrakern-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

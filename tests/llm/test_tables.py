@@ -19,7 +19,7 @@ def test_recall_scores_and_order(spark):
     x *= rnd.uniform(0.5, 1.5, 3000)[:, None]
     x[100:160] = x[40]  # ties
     rows = [(i, [float(np.float32(v)) for v in x[i]], "extra") for i in range(3000)]
-    odd = [(None, rows[0][1], ""), (3020, None, ""), (3040, [0.0] * 24, ""), (3060, [float("nan")] + [1.0] * 23, ""), (3081, [-9.0] * 5, ""), (20, rows[20][1], "")]
+    odd = [(None, rows[0][1], ""), (3020, None, ""), (3040, [0.0] * 24, ""), (3060, [float("nan")] + [1.0] * 23, ""), (3081, [0.001] * 5, ""), (20, rows[20][1], "")]
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, score string")
     got = collections.defaultdict(list)
     for r in permutation_index.nearest(frame).orderBy("query_id", "rank").collect():

@@ -9,8 +9,13 @@
 5. ``encode`` turns each text into token ids, and keeps the ids with the digest of
    what they decode to.
 
-No stage has SQL: the quality verdicts, classes, suffixes and token ids are tested
-against brute-force versions in ``tests/llm``.
+A null or empty text fails the base rules of the first stage, so none reaches the
+later ones; null languages and sources are groups of their own, rows with null ids are judged by
+their texts.  Texts of any length are taken whole, extra columns of ``documents`` are
+left out whatever their names, and an empty table gives an empty result.
+
+No stage has SQL: ``run`` is tested against a plain version in ``tests/llm``, and the
+stages against brute-force versions of their operators.
 """
 
 from __future__ import annotations
@@ -31,19 +36,23 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that pass the base rules and the outlier test; repeated rows are judged alike."""
     return kept_documents(docs.select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate class the row of the smallest id; repeated rows and equal texts are one class."""
     return first_of_class(docs.select(*COLUMNS))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes that a smaller doc_id has too, n_chars counted again; a text of which nothing is left goes."""
     trimmed = trimmed_documents(docs.select(*COLUMNS))
     return trimmed.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole rows, each 0 to 3 times, so that the words of a source meet its target; null sources are one source."""
     return mixed_documents(docs.select(*COLUMNS))
 
 

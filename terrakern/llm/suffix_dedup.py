@@ -12,7 +12,9 @@ documents or one bucket of suffixes:
 2. Blocks send the text of the runs whose anchor occurs twice, once per distinct
    text, with the smallest document id.  Each bucket sorts its suffixes by
    difference-cover blockwise construction (:func:`sorted_suffixes`), finds equal
-   windows as neighbours, and answers with the smallest id of each window.
+   windows as neighbours, and answers with the smallest id of each window.  Runs
+   go by their number in the block; hashes only bring equal texts together, whose
+   bytes are then compared.
 3. Blocks mark what the answers cover.
 
 Texts travel as one exchange that all three steps reuse.
@@ -37,7 +39,6 @@ GRAM = 20
 #: Aims for the text of a block and of a bucket.
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 2 << 20
-MOST_BUCKETS = 1 << 20
 #: Window starts that are worked on at once.
 UNIT = 1 << 19
 #: Suffixes that one bucket sorts at a time.
@@ -297,6 +298,28 @@ def window_minima(rows: np.ndarray, lead: np.ndarray, windows: np.ndarray, ids:
 
 
 # -- blocks and buckets -----------------------------------------------------------
+def classes(hashes: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of equal texts of at least 8 bytes: the first text of each, and the class of each text.
+
+    Texts with one hash are compared with the first of them; should any differ, all
+    are told apart by their bytes.
+    """
+    _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+    rest = np.flatnonzero(first[back] != np.arange(len(back)))
+    if not len(rest):
+        return first, back
+    twin = first[back[rest]]
+    same = size[rest] == size[twin]
+    for k in range(0, int(size[rest].max()), 8):  # the last word of a text overlaps the one before
+        at = np.minimum(k, size[rest] - 8)
+        same &= _words(data[None], np.zeros(1, np.int64), start[rest] + at) == _words(data[None], np.zeros(1, np.int64), start[twin] + np.minimum(at, size[twin] - 8))
+    if same.all():
+        return first, back
+    seen: dict[bytes, int] = {}
+    back = np.array([seen.setdefault(data[a : a + n].tobytes(), len(seen)) for a, n in zip(start.tolist(), size.tolist(), strict=True)], np.int64)
+    return np.unique(back, return_index=True)[1], back
+
+
 def _block_texts(table: pa.Table) -> tuple[pa.Table, np.ndarray, list[bytes]]:
     """A block's rows in an order of their own (id, text), their ids and their texts."""
     table = table.sort_by([("id", "ascending"), ("bytes", "ascending")])
@@ -312,9 +335,8 @@ def _send_anchors(table: pa.Table, span: int, buckets: int) -> pa.Table:
     block = table.column("block")[0]
     _, _, texts = _block_texts(table)
     found = np.unique(_anchors([Runs(*u[:4], span, GRAM) for u in units(texts, span)]))
-    edges = np.searchsorted(_bucket(found, buckets), np.arange(buckets + 1))
-    full = np.flatnonzero(np.diff(edges))
-    blobs = [_six(found[edges[b] : edges[b + 1]]) for b in full]
+    full, parts = _cut(_bucket(found, buckets))
+    blobs = [_six(found[part]) for part in parts]
     return pa.table({"bucket": pa.array(full, pa.int64()), "block": pa.array([block.as_py()] * len(full), pa.int64()), "hashes": pa.array(blobs, pa.binary())})
 
 
@@ -334,23 +356,23 @@ def _send_runs(table: pa.Table, answers: pa.Table, span: int, buckets: int) -> p
     _, ids, texts = _block_texts(table)
     cut = [(u, Runs(*u[:4], span, GRAM)) for u in units(texts, span)]
     found, counts = np.unique(_anchors([r for _, r in cut]), return_counts=True)
-    edges = np.searchsorted(_bucket(found, buckets), np.arange(buckets + 1))
+    parts = dict(zip(*_cut(_bucket(found, buckets)), strict=True))
     shared = counts > 1
     for b, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True):
-        n = edges[b + 1] - edges[b]
-        shared[edges[b] : edges[b + 1]] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+        part = parts[b]
+        shared[part] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=part.stop - part.start).astype(bool)
     shared = found[shared]
     out: dict[int, list[bytes]] = {}
     n_out: dict[int, int] = {}
-    for (data, text_of, _, ends, _), runs in cut if len(shared) else []:
+    base = np.cumsum([0] + [len(r.start) for _, r in cut])
+    for ((data, text_of, _, ends, _), runs), before in zip(cut, base.tolist(), strict=False) if len(shared) else []:
         near = np.minimum(np.searchsorted(shared, runs.anchor), len(shared) - 1)
         sent = np.flatnonzero(shared[near] == runs.anchor)
         if not len(sent):
             continue
         owner = ids[text_of[np.searchsorted(ends, runs.start[sent], "right")]]
-        order = np.lexsort((owner, runs.text[sent]))  # the smallest id of each distinct text comes first
-        first = np.append(True, runs.text[sent][order[1:]] != runs.text[sent][order[:-1]])
-        sent, owner = sent[order[first]], owner[order[first]]
+        first = np.sort(classes(runs.text[sent], data, runs.start[sent], runs.windows[sent] + span - 1)[0])
+        sent, owner = sent[first], owner[first]  # ids rise within a unit: the first run of a text has the smallest
         bucket = _bucket(runs.anchor[sent], buckets)
         order = np.argsort(bucket, kind="stable")
         sent, owner, bucket = sent[order], owner[order], bucket[order]
@@ -359,7 +381,7 @@ def _send_runs(table: pa.Table, answers: pa.Table, span: int, buckets: int) -> p
             n = runs.windows[s]
             size = n + span - 1
             take = np.repeat(runs.start[s] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            blob = b"".join((np.int32(len(s)).tobytes(), runs.text[s].tobytes(), owner[part].tobytes(), n.astype(np.uint8).tobytes(), runs.offset[s].astype(np.uint8).tobytes(), data[take].tobytes()))
+            blob = b"".join((np.int32(len(s)).tobytes(), runs.text[s].tobytes(), (s + before).astype(np.int32).tobytes(), owner[part].tobytes(), n.astype(np.uint8).tobytes(), runs.offset[s].astype(np.uint8).tobytes(), data[take].tobytes()))
             out.setdefault(b, []).append(blob)
             n_out[b] = n_out.get(b, 0) + len(s)
     keys = list(out)
@@ -377,17 +399,19 @@ def _cut(values: np.ndarray) -> tuple[list[int], list[slice]]:
 
 
 def _parse_runs(blob: bytes, span: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Text hash, id, number of windows and anchor's place of each run, and all runs' bytes."""
+    """Text hash, number in the block, id, windows and anchor's place of each run, and all runs' bytes."""
     at = 0
     while at < len(blob):
         n = int(np.frombuffer(blob, np.int32, 1, at)[0])
-        text = np.frombuffer(blob, np.uint64, n, at + 4)
-        ids = np.frombuffer(blob, np.int64, n, at + 4 + 8 * n)
-        windows = np.frombuffer(blob, np.uint8, n, at + 4 + 16 * n).astype(np.int64)
-        size = int(windows.sum()) + n * (span - 1)
-        offset = np.frombuffer(blob, np.uint8, n, at + 4 + 17 * n).astype(np.int64)
-        yield text, ids, windows, offset, np.frombuffer(blob, np.uint8, size, at + 4 + 18 * n)
-        at += 4 + 18 * n + size
+        at += 4
+        fields = []
+        for kind in (np.uint64, np.int32, np.int64, np.uint8, np.uint8):
+            fields.append(np.frombuffer(blob, kind, n, at))
+            at += fields[-1].nbytes
+        text, number, ids, windows, offset = fields
+        size = int(windows.sum(dtype=np.int64)) + n * (span - 1)
+        yield text, number, ids, windows.astype(np.int64), offset.astype(np.int64), np.frombuffer(blob, np.uint8, size, at)
+        at += size
 
 
 def _answer_runs(table: pa.Table, span: int) -> pa.Table:
@@ -396,14 +420,14 @@ def _answer_runs(table: pa.Table, span: int) -> pa.Table:
         for part in _parse_runs(blob, span):
             parts.append(part)
             blocks.append(np.full(len(part[0]), block))
-    text, ids, windows, offset = (np.concatenate([p[k] for p in parts]) for k in range(4))
-    data = np.concatenate([p[4] for p in parts])
+    text, number, ids, windows, offset = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    data = np.concatenate([p[5] for p in parts])
     block = np.concatenate(blocks)
     del parts, blocks
     stops = np.cumsum(windows + span - 1)
     begins = stops - windows - span + 1
-    distinct, first, back = np.unique(text, return_index=True, return_inverse=True)
-    least = np.full(len(distinct), NO_ID)
+    first, back = classes(text, data, begins, stops - begins)
+    least = np.full(len(first), NO_ID)
     np.minimum.at(least, back, ids)
     w = windows[first]
     # anchors stand in one column, so equal windows start in equal columns
@@ -419,7 +443,7 @@ def _answer_runs(table: pa.Table, span: int) -> pa.Table:
     run = np.flatnonzero(new)
     run_text = np.searchsorted(offsets, run, "right") - 1
     run_stop = np.append(run[1:], offsets[-1])
-    per_text = np.searchsorted(run_text, np.arange(len(distinct) + 1))
+    per_text = np.searchsorted(run_text, np.arange(len(first) + 1))
     # every sender gets the runs that are smaller than what it knows itself
     n = per_text[back + 1] - per_text[back]
     entry = np.repeat(np.arange(len(back)), n)
@@ -429,29 +453,29 @@ def _answer_runs(table: pa.Table, span: int) -> pa.Table:
     order = np.argsort(block[entry], kind="stable")
     entry, which = entry[order], which[order]
     base = offsets[run_text[which]]
-    reply = np.rec.fromarrays([text[entry], minima[run[which]], (run[which] - base).astype(np.uint16), (run_stop[which] - base).astype(np.uint16)], dtype=REPLY)
+    reply = np.rec.fromarrays([number[entry], minima[run[which]], (run[which] - base).astype(np.uint16), (run_stop[which] - base).astype(np.uint16)], dtype=REPLY)
     keys, cuts = _cut(block[entry])
     return pa.table({"block": pa.array(keys, pa.int64()), "replies": pa.array([reply[c].tobytes() for c in cuts], pa.binary())})
 
 
-REPLY = np.dtype([("text", "<u8"), ("least", "<i8"), ("first", "<u2"), ("stop", "<u2")])
+REPLY = np.dtype([("run", "<i4"), ("least", "<i8"), ("first", "<u2"), ("stop", "<u2")])
 
 
 def removed_masks(ids: np.ndarray, texts: list[bytes], replies: np.ndarray, span: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each text that loses bytes (more than once if it is long): its place and where removed runs start and end."""
-    replies = replies[np.argsort(replies["text"], kind="stable")]
+    replies, before = replies[np.argsort(replies["run"], kind="stable")], 0
     for data, text_of, starts, ends, place in units(texts, span):
         runs = Runs(data, text_of, starts, ends, span, GRAM)
         piece = np.searchsorted(ends, runs.start, "right")
         owner = ids[text_of[piece]]
         change = np.zeros(len(data) + 1, np.int32)
-        distinct, back = np.unique(runs.text, return_inverse=True)
-        least = np.full(len(distinct), NO_ID)
-        np.minimum.at(least, back, owner)
-        whole = least[back] < owner  # the same run stands in an earlier document of this unit
+        first, back = classes(runs.text, data, runs.start, runs.windows + span - 1)
+        twin = first[back]
+        whole = owner[twin] < owner  # the same run stands in an earlier document of this unit
         np.add.at(change, runs.start[whole], 1)
         np.add.at(change, (runs.start + runs.windows + span - 1)[whole], -1)
-        lo, hi = np.searchsorted(replies["text"], runs.text), np.searchsorted(replies["text"], runs.text, "right")
+        lo, hi = (np.searchsorted(replies["run"], twin + before, side) for side in ("left", "right"))
+        before += len(twin)
         n = hi - lo
         run = np.repeat(np.arange(len(n)), n)
         which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[run]
@@ -506,7 +530,7 @@ def dedup(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: s
         raise ValueError(f"span is {span}, not between {2 * GRAM} and 200")
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    blocks, buckets = max(1, -(-total // BLOCK_BYTES)), min(MOST_BUCKETS, max(1, -(-total // BUCKET_BYTES)))
+    blocks, buckets = max(1, -(-total // BLOCK_BYTES)), max(1, -(-total // BUCKET_BYTES))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.octet_length(text_col)), F.lit(blocks)).alias("block"),

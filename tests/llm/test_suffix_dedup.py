@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from terrakern.llm import suffix_dedup
@@ -54,6 +56,29 @@ def test_equals_brute_force(spark, monkeypatch, small):
     assert sorted([tuple(r) for r in suffix_dedup.dedup(docs, ["doc_id"]).collect()], key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("hashes", [1, 7, None])
+def test_colliding_hashes(monkeypatch, hashes):
+    """Two blocks by hand, texts of runs in one hash, a few hashes or their own: the result is the same."""
+    if hashes:
+        monkeypatch.setattr(suffix_dedup.Runs, "text", property(lambda r: (r.anchor + r.windows.astype(np.uint64)) % np.uint64(hashes)))
+    monkeypatch.setattr(suffix_dedup, "UNIT", 5000)
+    rows = [(i, t) for i, t in corpus(6) if i is not None]
+    blocks = [pa.table({"block": [b] * len(part), "id": [i for i, _ in part], "bytes": [(t or "").encode() for _, t in part]}) for b, part in enumerate((rows[::2], rows[1::2]))]
+    by = lambda t, name: [t.filter(pa.compute.equal(t[name], k)) for k in sorted(set(t[name].to_pylist()))]
+    sent = pa.concat_tables([suffix_dedup._send_anchors(b, 50, 3) for b in blocks])
+    bits = by(pa.concat_tables([suffix_dedup._answer_anchors(t) for t in by(sent, "bucket")]), "block")
+    runs = pa.concat_tables([suffix_dedup._send_runs(b, a, 50, 3) for b, a in zip(blocks, bits, strict=True)])
+    replies = pa.concat_tables([suffix_dedup._answer_runs(t, 50) for t in by(runs, "bucket")])
+    out = []
+    for k, b in enumerate(blocks):
+        _, ids, texts = suffix_dedup._block_texts(b)
+        mine = np.frombuffer(b"".join(r for r, n in zip(replies["replies"].to_pylist(), replies["block"].to_pylist(), strict=True) if n == k), suffix_dedup.REPLY)
+        spans = suffix_dedup.merged_spans(suffix_dedup.removed_masks(ids, texts, mine, 50), len(texts))
+        kept = [suffix_dedup.kept_bytes(t, s) for t, s in zip(texts, spans, strict=True)]
+        out += [(int(i), len(t), len(t) - len(x), len(s), hashlib.sha256(x).hexdigest()) for i, t, s, x in zip(ids, texts, spans, kept, strict=True)]
+    assert sorted(out, key=str) == brute(rows)
+
+
 def test_sorted_suffixes_and_minima():
     rnd = np.random.default_rng(3)
     lengths = rnd.integers(50, 77, 60)

@@ -101,8 +101,8 @@ def coarsen_grid(spark, d):
 
 @query("SELECT round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.95), 4) AS p95, round(quantile_cont(value, 0.99), 4) AS p99 FROM events")
 def latency_percentiles(spark, d):
-    p = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    return events(spark, d).agg(p.alias("p")).select(*[F.round(F.col("p")[k], 4).alias(n) for k, n in enumerate(("p50", "p95", "p99"))])
+    p = telemetry.exact_percentiles(events(spark, d), [], "value", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    return p.select(*[F.round(n, 4).alias(n) for n in ("p50", "p95", "p99")])
 
 
 @query("SELECT event_type, round(sum(value)/count(*), 6) AS pooled, count(*) AS n FROM events GROUP BY 1")
@@ -482,7 +482,10 @@ def lifecycle_flags(spark, d):
 
 @query("SELECT user_id//10 AS stream, round(max(value), 4) AS peak, round(avg(value), 4) AS mean, round(quantile_cont(value, 0.99), 4) AS p99, count(*) AS samples FROM events GROUP BY 1")
 def ram_rollup(spark, d):
-    return _obs(spark, d).groupBy(F.col("tile").alias("stream")).agg(F.round(F.max("value"), 4).alias("peak"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.percentile("value", F.lit(0.99)), 4).alias("p99"), F.count("*").alias("samples"))
+    e = _obs(spark, d).select(F.col("tile").alias("stream"), "value")
+    sums = e.groupBy("stream").agg(F.round(F.max("value"), 4).alias("peak"), F.round(F.avg("value"), 4).alias("mean"), F.count("*").alias("samples"))
+    p99 = telemetry.exact_percentiles(e, ["stream"], "value", {"p99": 0.99}).select("stream", F.round("p99", 4).alias("p99"))
+    return sums.join(p99, "stream")
 
 
 @query("SELECT CASE WHEN value < 20 THEN 'ok' WHEN value < 60 THEN 'slow' ELSE 'failed' END AS status, sum(event_id % 4)::BIGINT AS retries, count(*) AS n FROM events GROUP BY 1")

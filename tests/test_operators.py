@@ -1,11 +1,13 @@
 import collections
 import datetime
 import json
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from terrakern.functions import items
 from terrakern.operators import batching, catalogue, joins, pixels, records, registry, telemetry
 from terrakern.sources import catalogue as catalogue_source
 from terrakern.sources.store import CommitConflictError, DuplicateDateError, NonMonotonicDateError, PixelStore
@@ -181,3 +183,26 @@ def test_records(spark):
         records.source_positions(plane.withColumn("k", F.lit(40000)), ["t"], "k").collect()
     blocks = spark.createDataFrame([("a", 1, True), ("b", 0, False), ("c", None, True), ("c", 0, False)], "z string, hits int, failed boolean")
     assert {tuple(r) for r in records.probe_verdict(blocks, ["z"], F.col("hits"), F.col("failed")).collect()} == {("a", "present"), ("b", "absent"), ("c", "unknown")}
+
+
+def test_exact_percentiles(spark):
+    rnd = random.Random(4)
+    rows = [(k, rnd.choice([rnd.gauss(0, 9), float(rnd.randint(0, 5))])) for k in (1, 1, 1, 2) for _ in range(900)] + [(3, 7.5), (4, None), (1, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    wanted = {"least": 0.0, "low": 0.013, "middle": 0.5, "high": 0.99, "most": 1.0}
+    for accuracy in (40, 100, 10000):
+        got = {r.k: r for r in telemetry.exact_percentiles(df, ["k"], "v", wanted, accuracy).collect()}
+        for k in (1, 2, 3):
+            for name, p in wanted.items():
+                assert abs(got[k][name] - np.quantile([v for g, v in rows if g == k and v is not None], p)) < 1e-9
+        assert got[4].middle is None
+        whole = telemetry.exact_percentiles(df, [], "v", wanted, accuracy).first()
+        assert abs(whole.high - np.quantile([v for _, v in rows if v is not None], 0.99)) < 1e-9
+    assert telemetry.exact_percentiles(df.limit(0), ["k"], "v", wanted).count() == 0
+
+
+def test_naive_instant_is_refused(spark):
+    df = spark.createDataFrame([("2024-01-01T00:00:00Z",), (None,)], "t string")
+    assert [r[0] for r in df.select(F.unix_seconds(items.aware_instant(F.col("t")))).collect()] == [1704067200, None]
+    with pytest.raises(Exception, match="no zone"):
+        spark.createDataFrame([("2024-01-01T00:00:00",)], "t string").select(items.aware_instant(F.col("t"))).collect()

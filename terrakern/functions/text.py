@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +62,37 @@ def error_class(message: Column) -> Column:
     )
 
 
+#: Words of errors by what they say, and how errors name an HTTP status.
+OWN_CREDENTIAL = ("ExpiredToken", "token has expired", "InvalidAccessKeyId", "SignatureDoesNotMatch")
+REFUSAL = (
+    "AccessDenied", "SlowDown", "ServiceUnavailable", "InternalError", "HTTP response code: 403", "HTTP response code: 500", "TooManyRequests", "Connection reset", "Broken pipe",
+    "timed out", "Connection aborted", "RequestTimeout", "Could not resolve host", "Connection refused", "Empty reply from server", "handshake failed",
+)
+SOURCE_READER = ("RasterioIOError", "WarpOperationError", "CPLE_")
+UNREADABLE = ("ZIPDecode", "TIFFReadEncodedTile")
+MISSING_OBJECT = ("ObjectNotFound", "NoSuchKey", "HTTP response code: 410", "The specified key does not exist", "HTTP response code: 404")
+HTTP_STATUS = r"(?:HTTP (?:response|error) code(?: on \S+| for \S+ range \S+)?:[ \t]+|response_code=)(\d{3})(?![\d/])"
+TRANSIENT_STATUSES, ABSENT_STATUSES = (403, 408, 429), (404, 410)
+
+
+def read_failure(text: Column) -> Column:
+    """The one verdict on a failed read: own credential, refusal, wrong request, unreadable, absent, undecidable, in this order."""
+    says = lambda words: functools.reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    statuses = F.transform(F.regexp_extract_all(text, F.lit(HTTP_STATUS), 1), lambda s: s.cast("int"))
+    wait = F.exists(statuses, lambda s: (s >= 500) | s.isin(*TRANSIENT_STATUSES))
+    wrong = F.exists(statuses, lambda s: s.between(400, 499) & ~s.isin(*TRANSIENT_STATUSES, *ABSENT_STATUSES))
+    refused = says(REFUSAL) | wait
+    return (
+        F.when(says(OWN_CREDENTIAL), "our-credential")
+        .when(refused & says(SOURCE_READER), "provider-refused")
+        .when(refused, "refusal-unattributed")
+        .when(wrong, "client-error")
+        .when(says(UNREADABLE), "unreadable")
+        .when(says(MISSING_OBJECT) & says(SOURCE_READER), "absent")
+        .otherwise("undecidable")
+    )
+
+
 def set_digest(values: Column) -> Column:
     """SHA-256 of the sorted distinct values joined by commas."""
     return F.sha2(F.concat_ws(",", F.array_sort(F.array_distinct(values))), 256)

@@ -83,6 +83,13 @@ def flops_and_strips(spark, d):
     return read(spark, d, "part").select("p_partkey", flops.alias("flops"), I.strip_height(n * 10, F.lit(1500).cast("long"), F.lit(2048).cast("long"), F.lit(2048).cast("long")).alias("strip"))
 
 
+@query("SELECT event_id, ['our-credential', 'provider-refused', 'refusal-unattributed', 'client-error', 'unreadable', 'absent', 'undecidable', 'provider-refused', 'undecidable'][event_id % 9 + 1] AS verdict FROM events")
+def read_failures(spark, d):
+    said = ("ExpiredToken after SlowDown", "RasterioIOError: HTTP response code: 503", "SlowDown", "HTTP response code: 418 in ZIPDecode", "ZIPDecode failed", "CPLE_ HTTP response code: 404", "NoSuchKey", "CPLE_ response_code=429", "odd")
+    text = F.get(F.array(*map(F.lit, said)), (F.col("event_id") % 9).cast("int"))
+    return events(spark, d).select("event_id", T.read_failure(text).alias("verdict"))
+
+
 @query("SELECT o_orderkey, (o_orderkey % 50) * 2048 AS y0, (o_orderkey % 50 + 1) * 2048 AS y1, (o_custkey % 50) * 2048 AS x0, (o_custkey % 50 + 1) * 2048 AS x1, year(o_orderdate)::BIGINT - 2017 AS step FROM orders")
 def tile_slices(spark, d):
     label = T.tile_label(F.col("o_orderkey") % 50, F.col("o_custkey") % 50)
